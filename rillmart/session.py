@@ -9,9 +9,6 @@ from pyspark.sql import SparkSession
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Reducers are merged by bytes, not kept apart for the sake of parallelism,
-    # so a small shuffle ends in few tasks and a large one in many.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
