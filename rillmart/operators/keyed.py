@@ -60,18 +60,25 @@ def first_times(df: DataFrame, keys: Sequence[str], t: str = "t") -> DataFrame:
     return df.groupBy(*keys, clock.day(t).alias("day")).agg(F.min(t).alias(t))
 
 
-def user_day_measures(df: DataFrame, user: str, unique: str, new: str, t: str = "t") -> DataFrame:
+def user_day_measures(df: DataFrame, user: str, unique: str, new: str, t: str = "t",
+                      width: str = "10 seconds") -> DataFrame:
     """Rows ``t, unique, new``: 1 on a user's first row of a day / first row ever.
 
-    All input rows also appear with zeros, so a window in which nobody is
-    unique is still reported.
+    Every window with rows also gets a row of zeros, so a window in which nobody is
+    unique is still reported. Windows and user days come out of one pass over
+    the input, as two grouping sets of one aggregate.
     """
-    firsts = first_times(df.where(F.col(user).isNotNull()), [user], t)
-    earlier = F.lag("day").over(Window.partitionBy(user).orderBy("day"))
-    flagged = firsts.select(
-        t, F.lit(1).cast("bigint").alias(unique), earlier.isNull().cast("bigint").alias(new))
+    both = (
+        df.select(F.col(user).alias("_u"), clock.day(t).alias("_day"),
+                  F.window(t, width)["start"].alias("_w"), F.col(t).alias("_t"))
+        .groupingSets([["_w"], ["_u", "_day"]], "_w", "_u", "_day")
+        .agg(F.grouping("_w").alias("_by_user"), F.min("_t").alias(t))
+    )
     zero = F.lit(0).cast("bigint")
-    return df.select(t, zero.alias(unique), zero.alias(new)).unionByName(flagged)
+    earlier = F.lag("_day").over(Window.partitionBy("_u").orderBy("_day"))
+    flagged = both.where((F.col("_by_user") == 1) & F.col("_u").isNotNull()).select(
+        t, F.lit(1).cast("bigint").alias(unique), earlier.isNull().cast("bigint").alias(new))
+    return both.where("_by_user = 0").select(t, zero.alias(unique), zero.alias(new)).unionByName(flagged)
 
 
 def page_first_visits(df: DataFrame, mid: str, page: str, names: Mapping[str, str],

@@ -26,7 +26,7 @@ CDC_SCHEMA = (
 BOOTSTRAP_TYPES = ("bootstrap-start", "bootstrap-complete", "bootstrap-insert")
 
 
-def _once(df: DataFrame, value: Column, out: str) -> DataFrame:
+def once(df: DataFrame, value: Column, out: str) -> DataFrame:
     """Add a costly column so that it is computed once per row.
 
     A plain column would be inlined into every filter and projection that uses it;
@@ -37,7 +37,7 @@ def _once(df: DataFrame, value: Column, out: str) -> DataFrame:
 
 def split_objects(df: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
     """(rows whose text is one JSON object, all other rows)."""
-    marked = _once(df, is_object(text), "_ok")
+    marked = once(df, is_object(text), "_ok")
     return marked.where("_ok").drop("_ok"), marked.where("not _ok").drop("_ok")
 
 
@@ -47,7 +47,7 @@ def mark_log(df: DataFrame, text: str = "value") -> DataFrame:
     ``ok`` is false for text that is no JSON object or has no visitor or time.
     """
     rec = F.from_json(text, LOG_SCHEMA, {"columnNameOfCorruptRecord": "_broken"})
-    parsed = _once(df, rec, "_rec").withColumn("_trim", F.trim(text))
+    parsed = once(df, rec, "_rec").withColumn("_trim", F.trim(text))
     ok = (
         F.col("_trim").startswith("{") & F.col("_trim").endswith("}")
         & F.col("_rec._broken").isNull()
@@ -72,7 +72,7 @@ def split_log(df: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]
 def parse_log_maps(df: DataFrame, text: str = "value") -> DataFrame:
     """Log records as maps of ``common`` and ``page`` with event time in whole seconds."""
     rec = F.from_json(text, LOG_MAP_SCHEMA)
-    return _once(df, rec, "_rec").select(
+    return once(df, rec, "_rec").select(
         *[c for c in df.columns if c != text], "_rec.common", "_rec.page", "_rec.ts",
         clock.from_epoch_ms_whole_s("_rec.ts").alias("t"))
 
@@ -80,7 +80,7 @@ def parse_log_maps(df: DataFrame, text: str = "value") -> DataFrame:
 def parse_cdc(df: DataFrame, text: str = "value") -> DataFrame:
     """Change records: envelope columns, ``t`` from epoch seconds, ``proc_time``."""
     rec = F.from_json(text, CDC_SCHEMA)
-    parsed = _once(df, rec, "_rec")
+    parsed = once(df, rec, "_rec")
     return with_cdc_times(parsed.select(*[c for c in df.columns if c != text], "_rec.*"))
 
 

@@ -82,16 +82,16 @@ def order_users(details: DataFrame, width: str = WIDTH) -> DataFrame:
     """Users ordering for the first time of a day, and for the first time at all."""
     unique, new = "order_unique_user_count", "order_new_user_count"
     rows = parse.complete_orders(details).select("user_id", "t")
-    return tumble(keyed.user_day_measures(rows, "user_id", unique, new), total(unique, new),
-                  width=width)
+    measures = keyed.user_day_measures(rows, "user_id", unique, new, width=width)
+    return tumble(measures, total(unique, new), width=width)
 
 
 def payment_users(paid: DataFrame, width: str = WIDTH) -> DataFrame:
     """Users paying for the first time of a day, and for the first time at all."""
     unique, new = "payment_suc_unique_user_count", "payment_suc_new_user_count"
     rows = paid.select("user_id", "t")
-    return tumble(keyed.user_day_measures(rows, "user_id", unique, new), total(unique, new),
-                  width=width)
+    measures = keyed.user_day_measures(rows, "user_id", unique, new, width=width)
+    return tumble(measures, total(unique, new), width=width)
 
 
 def province_orders(details: DataFrame, province: DataFrame, order: Iterable[str] = ("t", "seq"),
