@@ -243,8 +243,7 @@ def interval_join(spark, sf):
     clicks = v.where("event_type = 'click'").select("event_id", "mid", "t")
     bought = v.where("event_type = 'purchase'").select(
         F.col("event_id").alias("purchase_id"), F.col("mid").alias("_mid"), F.col("t").alias("_pt"))
-    return joins.interval_join(clicks, bought, {"mid": "_mid"}, "15 hours", "5 minutes",
-                               t_right="_pt").select("event_id", "purchase_id", "mid")
+    return joins.interval_join(clicks, bought, {"mid": "_mid"}, 15 * 3600, 300, t_right="_pt").select("event_id", "purchase_id", "mid")
 
 
 @query

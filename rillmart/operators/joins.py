@@ -28,24 +28,46 @@ def bounded_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how:
     left (and the right keys and time) are left out of the result. A stream needs
     ``ttl_s``: it is what lets Spark forget old rows.
     """
-    tagged = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
-    cond = _equal(on)
-    if ttl_s is not None:
-        gap = F.expr(f"interval {int(ttl_s)} seconds")
-        cond = cond & (F.col(f"_r_{t_right}") >= F.col(t_left) - gap) & (
-            F.col(f"_r_{t_right}") <= F.col(t_left) + gap)
-    return _tidy(left, right, left.join(tagged, cond, how))
+    if ttl_s is None:
+        tagged = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
+        return _tidy(left, right, left.join(tagged, _equal(on), how))
+    return _near_join(left, right, on, how, t_left, t_right, ttl_s, ttl_s)
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str],
-                  before: str = "15 minutes", after: str = "5 seconds",
+                  before_s: int = 15 * 60, after_s: int = 5,
                   t_left: str = "t", t_right: str = "t") -> DataFrame:
-    """Rows of ``left`` from ``before`` ahead of a right row to ``after`` behind it."""
-    tagged = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
+    """Rows of ``left`` from ``before_s`` ahead of a right row to ``after_s`` behind it."""
+    return _near_join(left, right, on, "inner", t_left, t_right, before_s, after_s)
+
+
+# Buckets are this many times the join interval, so about one right row in
+# sixteen has to be looked up in two buckets.
+BUCKET_SPANS = 16
+
+
+def _near_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str, t_left: str,
+               t_right: str, before_s: int, after_s: int) -> DataFrame:
+    """Join rows with ``right - before_s <= left <= right + after_s`` and equal keys.
+
+    Both sides are also cut into buckets of time, and the bucket is part of the join
+    key: a key with very many rows is spread over its buckets, and only rows
+    near each other in time are compared. A left row is in one bucket; a right row is
+    in every bucket its interval touches, so each pair meets exactly once.
+    """
+    width = max(1, (before_s + after_s) * BUCKET_SPANS)
+    seconds = F.unix_seconds(F.col(t_right).cast("timestamp"))
+    touched = F.sequence(F.floor((seconds - before_s) / width), F.floor((seconds + after_s + 1) / width))
+    mine = left.withColumn("_bucket", F.floor(F.unix_seconds(F.col(t_left).cast("timestamp")) / width))
+    theirs = right.select(
+        *[F.col(c).alias(f"_r_{c}") for c in right.columns], F.explode(touched).alias("_r__bucket"))
     at = F.col(f"_r_{t_right}")
-    cond = _equal(on) & (F.col(t_left) >= at - F.expr(f"interval {before}")) & (
-        F.col(t_left) <= at + F.expr(f"interval {after}"))
-    return _tidy(left, right, left.join(tagged, cond, "inner"))
+    cond = (
+        _equal({**on, "_bucket": "_bucket"})
+        & (F.col(t_left) >= at - F.expr(f"interval {int(before_s)} seconds"))
+        & (F.col(t_left) <= at + F.expr(f"interval {int(after_s)} seconds"))
+    )
+    return _tidy(left, right, mine.join(theirs, cond, how))
 
 
 def enrich(df: DataFrame, dim: DataFrame, key: str | Mapping[str, str],

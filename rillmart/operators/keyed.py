@@ -120,19 +120,20 @@ def visit_measures(df: DataFrame, mid: str, dims: Sequence[str], last_page: str,
 
 
 def retract_changelog(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str],
-                      t: str = "t", piece: Column | None = None) -> DataFrame:
+                      t: str = "t", pieces: Sequence[Column] | None = None, **hot: int) -> DataFrame:
     """Each version of a row, preceded by the version it replaces with negated amounts.
 
     ``sign`` is 1 for a version and -1 for a retraction, which keeps the event time of
-    the version it takes back. Null amounts count as zero.
+    the version it takes back. Null amounts count as zero. ``pieces`` cut the
+    versions of very heavy keys, see :func:`..skew.with_previous`.
     """
-    if piece is None:
-        piece = F.date_trunc("minute", F.col(t))
+    if pieces is None:
+        pieces = [F.date_trunc("second", F.col(t)), F.date_trunc("hour", F.col(t))]
     zero_filled = df.select(*[
         F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)).alias(c) if c in amounts
         else F.col(c) for c in df.columns])
     held = [c for c in df.columns if c != key]
-    paired = with_previous(zero_filled, [key], order, piece, held, "_prev")
+    paired = with_previous(zero_filled, [key], order, pieces, held, "_prev", **hot)
     back = [
         (-F.col(f"_prev.{c}")).cast(df.schema[c].dataType).alias(c) if c in amounts
         else F.col(c) if c == key else F.col(f"_prev.{c}").alias(c) for c in df.columns]

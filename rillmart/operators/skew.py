@@ -53,33 +53,62 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, valu
     return joined.select(*rows.columns, found.alias(value))
 
 
-def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column,
-                  keep: Sequence[str], out: str = "prev") -> DataFrame:
+def hot_keys_of(rows: DataFrame, keys: Sequence[str], hot_keys: int = HOT_KEYS,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The heaviest keys, at most ``hot_keys`` of them, each with ``hot_rows`` rows or more."""
+    return (
+        rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows)
+        .orderBy(F.desc("_n"), *keys).limit(hot_keys).select(*keys)
+    )
+
+
+def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  pieces: Sequence[Column], keep: Sequence[str], out: str = "prev",
+                  hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add struct ``out`` with the ``keep`` columns of the preceding row of the key.
 
-    ``order`` must be a total order within a key and ``piece`` a column that never
-    decreases along it (a minute, a second). Rows are ordered inside one piece
-    of one key; the last row of each piece is carried to the key's next piece as
-    one extra row that is dropped at the end.
+    ``order`` must be a total order within a key. Most keys are ordered whole.
+    The rows of the heaviest keys are ordered in ``pieces``, given from fine to coarse
+    (seconds, hours); a piece never decreases along the order, and a finer one lies
+    within a coarser one. What precedes a piece is handed to it as one extra row.
     """
-    held = F.struct(*keep)
-    cut = rows.withColumn("_piece", piece).withColumn("_held", held).withColumn("_carried", F.lit(0))
-    last = cut.groupBy(*keys, "_piece").agg(F.max_by("_held", F.struct(*order)).alias("_held"))
-    along = Window.partitionBy(*keys).orderBy("_piece")
-    carry = (
-        last.withColumn("_piece_next", F.lead("_piece").over(along))
-        .where(F.col("_piece_next").isNotNull())
-        .select(*keys, F.col("_piece_next").alias("_piece"), "_held", F.lit(1).alias("_carried"))
-    )
-    inside = Window.partitionBy(*keys, "_piece").orderBy(F.desc("_carried"), *order)
+    hot = hot_keys_of(rows, keys, hot_keys, hot_rows).withColumn("_hot", F.lit(True))
+    names = [f"_piece{i}" for i in range(len(pieces))]
+    marked = rows.join(F.broadcast(hot), list(keys), "left").select(
+        *rows.columns, F.struct(*keep).alias("_held"), F.col("_hot"),
+        *[F.when(F.col("_hot"), p).alias(n) for p, n in zip(pieces, names)])
+    carry = _before_pieces(marked.where("_hot"), keys, order, names)
+    inside = Window.partitionBy(*keys, names[0]).orderBy(F.desc("_carried"), *order)
+    both = marked.drop("_hot").withColumn("_carried", F.lit(0)).unionByName(
+        carry.withColumn("_carried", F.lit(1)), allowMissingColumns=True)
     return (
-        cut.unionByName(carry, allowMissingColumns=True)
-        .withColumn(out, F.lag("_held").over(inside))
-        .where(F.col("_carried") == 0)
-        .drop("_piece", "_held", "_carried")
+        both.withColumn(out, F.lag("_held").over(inside)).where(F.col("_carried") == 0)
+        .select(*rows.columns, out)
     )
 
 
+def _before_pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   pieces: Sequence[str]) -> DataFrame:
+    """Per key and finest piece, the ``_held`` of the last row before the piece.
+
+    Last rows of pieces are ordered within the next coarser piece, and so on; only
+    the coarsest pieces of a key are ordered all together.
+    """
+    last = rows.groupBy(*keys, *pieces).agg(F.max_by("_held", F.struct(*order)).alias("_held"))
+    if len(pieces) == 1:
+        along = Window.partitionBy(*keys).orderBy(pieces[0])
+        found = last.withColumn("_before", F.lag("_held").over(along))
+    else:
+        coarse = _before_pieces(last, keys, [pieces[0]], pieces[1:])
+        along = Window.partitionBy(*keys, pieces[1]).orderBy(pieces[0])
+        inner = last.withColumn("_inner", F.lag("_held").over(along))
+        found = inner.join(
+            coarse.select(*keys, pieces[1], F.col("_held").alias("_outer")), [*keys, pieces[1]], "left"
+        ).withColumn("_before", F.coalesce("_inner", "_outer"))
+    return found.where(F.col("_before").isNotNull()).select(
+        *keys, *pieces, F.col("_before").alias("_held"))
+
+
 def running_max(rows: DataFrame, arrival: str, value: str, out: str,
                 block: int = 100_000) -> DataFrame:
     """Maximum of ``value`` over all rows that arrived before, null on the first.

@@ -10,6 +10,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split an oversized join partition even when that costs a later shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

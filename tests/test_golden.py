@@ -166,6 +166,17 @@ def test_interval_join(spark):
     assert sorted(one(got, "s")) == [noon - 900, noon + 5]
 
 
+def test_near_join_meets_every_pair_once(spark):
+    left = at(spark, [("k", i * 37 % 1000) for i in range(120)], "k string, s long")
+    right = spark.createDataFrame(
+        [("k", i * 53 % 1000) for i in range(80)], "rk string, rs long").withColumn("rt", F.timestamp_seconds("rs"))
+    for before, after in ((0, 0), (3, 1), (50, 20)):
+        got = joins.interval_join(left, right, {"k": "rk"}, before, after, t_right="rt")
+        want = sorted((a, b) for a in {i * 37 % 1000 for i in range(120)} for b in {i * 53 % 1000 for i in range(80)}
+                      if b - before <= a <= b + after)
+        assert sorted((r.s, r.rs) for r in got.collect()) == want
+
+
 def test_snowflake_with_gap(spark):
     def table(rows, *cols):
         return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
@@ -232,7 +243,7 @@ def test_returning_user(spark):
 def test_retract(spark, first, second, want):
     df = at(spark, [("1", first, 1), ("1", second, 100)], "id string, a string, s long")
     df = df.withColumn("a", values.amount("a"))
-    log = keyed.retract_changelog(df, "id", ["s"], ["a"])
+    log = keyed.retract_changelog(df, "id", ["s"], ["a"], hot_rows=1)
     assert sorted(str(r.a) for r in log.collect()) == want
     back = log.where("sign = -1").collect()
     assert len(back) == 1 and back[0].s == 1
@@ -240,15 +251,16 @@ def test_retract(spark, first, second, want):
     assert net.agg(F.sum("a")).first()[0] == log.agg(F.sum("a")).first()[0] == Decimal(second)
 
 
-def test_previous_across_pieces(spark):
+@pytest.mark.parametrize("hot", [dict(hot_rows=10, hot_keys=1), dict(hot_rows=1), dict(hot_rows=10**9)])
+def test_previous_across_pieces(spark, hot):
     """Pieces of one row, of many rows and of all rows give the same previous rows."""
-    data = [("k", i * 7 % 50) for i in range(50)] + [("j", i) for i in range(5)]
+    data = [("k", i * 7 % 50) for i in range(50)] + [("j", i) for i in range(5)] + [("i", 3)]
     df = spark.createDataFrame(data, "k string, s long")
-    want = sorted(("k", i, i - 1 if i else None) for i in range(50)) + [("j", i, i - 1 if i else None) for i in range(5)]
-    for size in (1, 7, 1000):
-        got = skew.with_previous(df, ["k"], ["s"], F.floor(F.col("s") / size), ["s"])
-        assert sorted((r.k, r.s, r.prev.s if r.prev else -1) for r in got.collect()) == sorted(
-            (k, s, -1 if p is None else p) for k, s, p in want)
+    want = sorted((k, s, s - 1 if s and k != "i" else -1) for k, s in data)
+    for sizes in ((1,), (7,), (1000,), (1, 10), (2, 6, 30), (7, 1000)):
+        pieces = [F.floor(F.col("s") / n) for n in sizes]
+        got = skew.with_previous(df, ["k"], ["s"], pieces, ["s"], **hot)
+        assert sorted((r.k, r.s, r.prev.s if r.prev else -1) for r in got.collect()) == want
 
 
 @pytest.mark.parametrize("hot", [dict(hot_rows=1, hot_keys=1), dict(hot_rows=10**9)])
