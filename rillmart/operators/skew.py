@@ -40,9 +40,11 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, valu
         .orderBy(F.desc(count), key).limit(hot_keys)
         .select(F.col(key).alias("_hot_key"), F.col(value).alias("_hot_value"), F.lit(1).alias("_hot"))
     )
+    # Always 0, but not a literal: the optimizer would take a literal out of the join key.
+    # It also keeps the count in use, so both uses of per_key share one exchange.
+    zero = F.when(F.col(count) < 0, 1).otherwise(0)
     rest = per_key.select(
-        F.col(key).alias("_key"), F.lit(0).alias("_part"), F.col(value).alias("_cold_value"),
-        F.col(count).alias("_count"))
+        F.col(key).alias("_key"), zero.alias("_part"), F.col(value).alias("_cold_value"))
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     follows_key = F.col("_hot").isNull() & F.col(key).isNotNull()
     part = F.when(follows_key, F.lit(0)).otherwise(
