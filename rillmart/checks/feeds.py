@@ -18,17 +18,23 @@ ORDER_STEP_S = 7
 FACTS = ("lineitem", "orders", "events", "documents")
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A driver table. Fact files with fewer splits than the cluster has cores are dealt out.
 
     The sample files have one row group each, so one task would read and transform
     the whole file. A table of any size has more splits than cores and is left alone.
+    The frame is kept, so a table's footers are read once per application.
     """
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACTS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    at = (spark.sparkContext.applicationId, sf, name)
+    if at not in _TABLES:
+        df = spark.read.parquet(f"{sf}/{name}.parquet")
+        cores = spark.sparkContext.defaultParallelism
+        few = name in FACTS and df.rdd.getNumPartitions() < cores
+        _TABLES[at] = df.repartition(cores) if few else df
+    return _TABLES[at]
 
 
 def entries(**columns: Column) -> Column:
@@ -59,6 +65,11 @@ def visits(spark: SparkSession, sf: str) -> DataFrame:
         F.unix_millis("t").alias("ts"))
 
 
+def crowded(df: DataFrame, key: str, number: str = "event_id") -> DataFrame:
+    """The same rows, a third of which belong to one key."""
+    return df.withColumn(key, F.when(F.col(number) % 3 == 0, F.lit("crowd")).otherwise(F.col(key)))
+
+
 def log_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Visits in the shape of parsed log records, plus ``event_id``."""
     v = visits(spark, sf)

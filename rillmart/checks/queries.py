@@ -312,6 +312,13 @@ def _paid(spark, sf):
     return detail.pay_detail(detail.order_detail(cdc, dic), cdc, dic)
 
 
+@query
+def pay_detail_strict(spark, sf):
+    """Only updates to the successful status; the feed has no others, so both agree."""
+    cdc, dic = feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf)
+    return detail.pay_detail(detail.order_detail(cdc, dic), cdc, dic, strict=True).drop("t")
+
+
 @query
 def pay_detail_wide(spark, sf):
     return _paid(spark, sf).drop("t")
@@ -337,6 +344,16 @@ def keyword_tokens_name(spark, sf):
         "p_partkey", "word")
 
 
+@query
+def keyword_table_function(spark, sf):
+    """The table function in SQL, as a lateral join."""
+    words.register_words(spark)
+    feeds.table(spark, sf, "part").createOrReplaceTempView("rillmart_part")
+    return spark.sql(
+        "select p_partkey, w.word, count(*) as n from rillmart_part, lateral split_words(p_name) as w "
+        "group by p_partkey, w.word")
+
+
 @query
 def keyword_window(spark, sf):
     return summary.keyword_page_view(feeds.log_frame(spark, sf))
@@ -446,6 +463,46 @@ def watermark_lateness(spark, sf):
     return windows.tumble(kept, {"n": F.count("*")}, width="1 hour")
 
 
+# --- one key with a third of all rows -----------------------------------------
+
+CROWD = dict(hot_rows=300, hot_keys=8)
+
+
+@query
+def visitor_flag_crowded(spark, sf):
+    v = feeds.crowded(feeds.visits(spark, sf).select("event_id", "mid", "is_new", "t"), "mid")
+    return keyed.repair_visitor_flag(v, order=["t", "event_id"], **CROWD).select("event_id", "mid", "is_new")
+
+
+@query
+def count_once_crowded(spark, sf):
+    v = feeds.crowded(feeds.visits(spark, sf).select("event_id", "mid", "t"), "mid")
+    return keyed.mark_once(v, "mid", ["t", "event_id"], **CROWD).select("event_id", "mid", "once")
+
+
+@query
+def retract_crowded(spark, sf):
+    v = feeds.crowded(feeds.visits(spark, sf).select(
+        F.col("mid").alias("id"), feeds.money("value").alias("amount"), "page_id", "t", "event_id"), "id")
+    log = keyed.retract_changelog(v, "id", ["t", "event_id"], ["amount"], **CROWD)
+    return plain_amounts(log.withColumn("event_time", clock.second_text("t")).drop("t"))
+
+
+@query
+def interval_join_crowded(spark, sf):
+    v = feeds.crowded(feeds.visits(spark, sf).select("event_id", "event_type", "mid", "t"), "mid")
+    clicks = v.where("event_type = 'click'").select("event_id", "mid", "t")
+    bought = v.where("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"), F.col("mid").alias("_mid"), F.col("t").alias("_pt"))
+    return joins.interval_join(clicks, bought, {"mid": "_mid"}, 3600, 300, t_right="_pt").select(
+        "event_id", "purchase_id", "mid")
+
+
+@query
+def order_users_crowded(spark, sf):
+    return summary.payment_users(feeds.crowded(feeds.purchases(spark, sf), "user_id"), width="1 hour")
+
+
 # --- scalars ---------------------------------------------------------------
 
 @query

@@ -222,6 +222,9 @@ SELECT {bucket(width)}, vc, ch, ar, is_new,
 FROM seen GROUP BY ALL"""
 
 
+CROWD = """
+crowd AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'crowd' ELSE mid END AS mid) FROM visits)"""
+
 LATE = f"""{VISITS},
 arrivals AS (SELECT event_id AS arrival, t - to_minutes(k) AS t FROM visits),
 seen AS (SELECT arrival, t, max(t) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING
@@ -434,6 +437,26 @@ SQL: dict[str, str] = {
         "FROM marked WHERE late",
     "watermark_lateness": f"WITH {LATE.format(slack=1805)} SELECT {bucket('1 hour')}, count(*) AS n "
         "FROM marked WHERE NOT late GROUP BY ALL",
+    "visitor_flag_crowded": f"WITH {VISITS}, {CROWD}, {REPAIRED.format(src='crowd')} "
+        "SELECT event_id, mid, is_new FROM repaired",
+    "count_once_crowded": f"""WITH {VISITS}, {CROWD}, seen AS (SELECT *, row_number() OVER (PARTITION BY mid
+          ORDER BY t, event_id) AS rn FROM crowd)
+        SELECT event_id, mid, CAST(CASE WHEN rn = 1 THEN 1 ELSE 0 END AS BIGINT) AS once FROM seen""",
+    "retract_crowded": f"""WITH {VISITS}, {CROWD}, paired AS (SELECT mid, CAST(value AS DECIMAL(16,2)) AS a, page_id, t,
+          event_id, lag(CAST(value AS DECIMAL(16,2))) OVER w AS p_a, lag(page_id) OVER w AS p_page, lag(t) OVER w AS p_t,
+          lag(event_id) OVER w AS p_id FROM crowd WINDOW w AS (PARTITION BY mid ORDER BY t, event_id))
+        SELECT mid AS id, CAST(CAST(a AS DECIMAL(18,2)) AS VARCHAR) AS amount, page_id, event_id, 1 AS sign,
+          strftime(t, {SECOND}) AS event_time FROM paired
+        UNION ALL SELECT mid, CAST(CAST(-p_a AS DECIMAL(18,2)) AS VARCHAR), p_page, p_id, -1,
+          strftime(p_t, {SECOND}) FROM paired WHERE p_t IS NOT NULL""",
+    "interval_join_crowded": f"""WITH {VISITS}, {CROWD} SELECT c.event_id, p.event_id AS purchase_id, c.mid
+        FROM crowd c JOIN crowd p ON c.mid = p.mid AND c.event_type = 'click' AND p.event_type = 'purchase'
+        AND c.t >= p.t - INTERVAL '1 hour' AND c.t <= p.t + INTERVAL '5 minutes'""",
+    "order_users_crowded": f"WITH {VISITS}, {CROWD}, bought AS (SELECT * FROM crowd WHERE event_type = 'purchase'), "
+        + user_days("bought", "mid", "payment_suc_unique_user_count", "payment_suc_new_user_count", "1 hour"),
+    "keyword_table_function": f"""WITH w AS (SELECT p_partkey, unnest({TOKENS.format(text='p_name')}) AS word FROM part)
+        SELECT p_partkey, word, count(*) AS n FROM w GROUP BY ALL""",
+    "pay_detail_strict": f"WITH {PAID} SELECT * EXCLUDE (p) FROM paid",
     "scalar_dates": f"""SELECT event_id, epoch_ms(date_trunc('second', ts)) AS full_ms,
         epoch_ms(date_trunc('day', ts)) AS day_ms, strftime(ts, '%Y-%m-%d') AS day,
         strftime(ts, {SECOND}) AS second, strftime(ts, '%Y-%m-%d') AS day_of_text,

@@ -76,6 +76,15 @@ def words_of(df: DataFrame, text: str, out: str = "word",
     return plain.unionByName(mixed)
 
 
+def register_words(spark: SparkSession, name: str = "split_words") -> None:
+    """Register the words as a SQL table function, for use in a lateral join."""
+    plain, han = (p.replace("\\", "\\\\") for p in (PLAIN_WORD, r"(\p{IsHan})"))
+    spark.sql(
+        f"create or replace temporary function {name}(line string) returns table(word string) return "
+        f"select explode(concat(regexp_extract_all(lower(line), '{plain}', 1), "
+        f"regexp_extract_all(line, '{han}', 1))) as word")
+
+
 def _han_singles(text: str) -> Column:
     return F.regexp_extract_all(F.col(text), F.lit(r"(\p{IsHan})"), F.lit(1))
 

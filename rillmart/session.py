@@ -35,10 +35,11 @@ def build(app: str = "rillmart", master: str | None = None, zone: str = "UTC",
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # No call site per column expression; wide jobs are made of hundreds of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate(), zone)

@@ -4,12 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import parse, routing
+from ..operators.routing import RULE_CHANGE_SCHEMA
 from ..sources.sinks import upsert_dims
 
 
+def rule_table(spark: SparkSession, preload: DataFrame | None, changes_path: str,
+               ) -> Callable[[], tuple[DataFrame | None, DataFrame | None]]:
+    """Rules as known now: the preloaded ones and all changes landed as parquet so far.
+
+    A stream of config changes appends to ``changes_path`` (columns ``before, after, op,
+    seq``); every call lists the directory anew.
+    """
+    schema = StructType.fromDDL(f"{RULE_CHANGE_SCHEMA}, seq bigint")
+
+    def now() -> tuple[DataFrame | None, DataFrame | None]:
+        return preload, spark.read.schema(schema).parquet(changes_path)
+
+    return now
+
+
 def route_batches(rules: Callable[[], tuple[DataFrame | None, DataFrame | None]], facts_path: str,
                   dims_path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` over parsed changes: facts to topics, dimensions to keyed tables.

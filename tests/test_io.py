@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rillmart.operators import parse, routing
 from rillmart.sources import dims, sinks, topics
-from rillmart.streaming.routing import route_batches
+from rillmart.streaming.routing import route_batches, rule_table
 
 
 def lines(*rows):
@@ -107,3 +107,26 @@ def test_rule_change_feed(spark):
     changes = topics.read_rule_changes(spark.createDataFrame(lines(rec), "value string"))
     alive = routing.fold_rules(routing.rule_changes(None, changes), "dim").collect()
     assert [(r.source_table, r.sink_columns) for r in alive] == [("base_category3", "id,name,category2_id")]
+
+
+def test_rules_from_a_change_stream(spark, tmp_path):
+    """Config changes arrive as a stream; the router sees what has landed by then."""
+    (tmp_path / "in").mkdir()
+    preload = spark.createDataFrame([("a", "insert", "t1", "dwd", "id", None, None)], routing.RULE_SCHEMA)
+    now = rule_table(spark, preload, str(tmp_path / "rules"))
+
+    def feed(i, op, before, after):
+        row = [dict(zip(["source_table", "source_type", "sink_table", "sink_type", "sink_columns"], x)) if x else None
+               for x in (before, after)]
+        (tmp_path / "in" / f"{i}.txt").write_text(json.dumps({"before": row[0], "after": row[1], "op": op, "ts_ms": i}))
+        text = topics.read_topic(spark, str(tmp_path / "in"), stream=True)
+        q = sinks.start_append(topics.read_rule_changes(text), str(tmp_path / "rules"), str(tmp_path / "c"),
+                               fmt="parquet", once=True)
+        assert q.awaitTermination(60) and q.exception() is None
+        alive = routing.fold_rules(routing.rule_changes(*now()), "dwd")
+        return sorted((r.source_table, r.sink_table) for r in alive.collect())
+
+    old, new = ("a", "insert", "t1", "dwd", "id"), ("a", "insert", "t2", "dwd", "id")
+    assert feed(1, "u", old, new) == [("a", "t2")]
+    assert feed(2, "c", None, ("b", "insert", "t3", "dwd", "id")) == [("a", "t2"), ("b", "t3")]
+    assert feed(3, "d", new, None) == [("b", "t3")]

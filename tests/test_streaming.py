@@ -141,3 +141,36 @@ def test_log_topics_stream(spark, sf, tmp_path):
     assert q.exception() is None
     got = spark.read.text(str(tmp_path / "out"))
     assert rows(got) == rows(ingest.log_topics(src, order=["ts", "event_id"]))
+
+
+def test_lateness_refreshes_a_window(spark, tmp_path):
+    """A row behind the watermark delay but within the lateness updates its window.
+
+    Spark drops by the watermark of the batch before, hence the row in between.
+    """
+    from rillmart.operators.windows import tumble, watermarked
+    src = spark.createDataFrame([(1, 5), (2, 25), (3, 8), (4, 200), (5, 201), (6, 9)], "n long, s long").withColumn(
+        "t", F.timestamp_seconds("s"))
+    live = tumble(watermarked(as_stream(src, tmp_path / "in", "n", 6), lateness_s=60), {"c": F.count("*")})
+    got, q = run_keyed(live, tmp_path, WINDOW)
+    assert sorted((r.stt[-5:], r.c) for r in got.collect()) == [("00:00", 2), ("00:20", 1), ("03:20", 2)]
+    assert sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"]) == 1
+
+
+def test_pay_and_refund_streams(spark, sf, tmp_path):
+    """Interval join and chained two-key inner joins."""
+    cdc = feeds.cdc_frame(spark, sf).withColumn("s", F.col("ts").cast("long"))
+    dic = feeds.dictionary(spark, sf)
+    details = detail.order_detail(cdc, dic).withColumn("s", F.col("ts").cast("long"))
+    live_cdc = as_stream(cdc.where(F.col("table").isin("payment_info", "refund_payment", "order_refund_info", "order_info")),
+                         tmp_path / "cdc", "s", 2).withWatermark("t", "1 hour")
+    live_details = as_stream(details, tmp_path / "details", "s", 2).withWatermark("t", "1 hour")
+    paid = detail.pay_detail(live_details, live_cdc, dic)
+    for name, live, want in (("pay", paid, detail.pay_detail(details.drop("s"), cdc, dic)),
+                             ("refund", detail.refund_pay(live_cdc, dic), detail.refund_pay(cdc, dic)),
+                             ("asked", detail.order_refund(live_cdc, dic), detail.order_refund(cdc, dic))):
+        out = str(tmp_path / name)
+        q = live.drop("t").writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", out + "_c").trigger(availableNow=True).start()
+        assert q.awaitTermination(120) and q.exception() is None
+        assert rows(want) and rows(spark.read.parquet(out)) == rows(want.drop("t"))
