@@ -453,7 +453,7 @@ def _disordered(spark, sf):
 
 @query
 def watermark_late_drop(spark, sf):
-    return windows.mark_late(_disordered(spark, sf), block=1000).where("late").select(
+    return windows.mark_late(_disordered(spark, sf), block=20).where("late").select(
         "arrival", clock.second_text("t").alias("event_time"))
 
 

@@ -269,7 +269,8 @@ SQL: dict[str, str] = {
         FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 6 IN (0, 1, 5)""",
     "cdc_insert_select": f"WITH {LINES} SELECT * EXCLUDE (s), CAST(s AS VARCHAR) AS ts FROM lines",
     "cdc_map_project": f"""WITH {ORDERS}
-        SELECT id, user_id, NULL AS operate_time, NULL AS no_such_key, '1001' AS status FROM moves
+        SELECT id, user_id, CAST(NULL AS VARCHAR) AS operate_time, CAST(NULL AS VARCHAR) AS no_such_key,
+          '1001' AS status FROM moves
         UNION ALL SELECT id, user_id, {text_at('later')}, NULL, status FROM moves""",
     "cdc_status_transition": f"""WITH {ORDERS} SELECT id, {text_at('later')} AS operate_time,
         CAST(later AS VARCHAR) AS ts FROM moves WHERE status = '1003' AND o_orderkey % 3 <> 0""",

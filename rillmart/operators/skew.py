@@ -112,21 +112,24 @@ def _before_pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def running_max(rows: DataFrame, arrival: str, value: str, out: str,
-                block: int = 100_000) -> DataFrame:
+                block: int = 100_000, levels: int = 2) -> DataFrame:
     """Maximum of ``value`` over all rows that arrived before, null on the first.
 
     ``arrival`` is a dense arrival number. Each block of arrivals is scanned on
-    its own; what came before a block is a prefix maximum over one row per block.
+    its own; what came before a block is the running maximum of the block maxima, found
+    the same way, until the ``levels``-th power of ``block`` covers all arrivals.
     """
-    cut = rows.withColumn("_block", F.floor(F.col(arrival) / block))
-    per_block = cut.groupBy("_block").agg(F.max(value).alias("_block_max"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select("_block", F.max("_block_max").over(before).alias("_before"))
-    inside = Window.partitionBy("_block").orderBy(arrival).rowsBetween(
-        Window.unboundedPreceding, -1)
+    mine, top, seen, before = (f"_{n}{levels}" for n in ("block", "top", "seen", "before"))
+    if levels == 0:
+        ahead = Window.orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(out, F.max(value).over(ahead))
+    cut = rows.withColumn(mine, F.floor(F.col(arrival) / block))
+    per_block = cut.groupBy(mine).agg(F.max(value).alias(top))
+    prefix = running_max(per_block, mine, top, before, block, levels - 1).select(mine, before)
+    inside = Window.partitionBy(mine).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.withColumn("_in_block", F.max(value).over(inside))
-        .join(prefix, "_block")
-        .withColumn(out, F.greatest("_in_block", "_before"))
-        .drop("_block", "_in_block", "_before")
+        cut.withColumn(seen, F.max(value).over(inside))
+        .join(prefix, mine)
+        .withColumn(out, F.greatest(seen, before))
+        .drop(mine, seen, before)
     )
