@@ -29,13 +29,14 @@ def thin(keys: Sequence[str], order: Sequence[str]) -> Callable[[Iterable[pd.Dat
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.sort_values(sort, kind="stable").drop_duplicates(by)
+            yield batch.sort_values(sort, kind="stable", na_position="first").drop_duplicates(by)
 
     return run
 
 
-def _sorted(rows: Iterable[Row], order: Sequence[str]) -> list[Row]:
-    return sorted(rows, key=lambda r: tuple(r[c] for c in order))
+def _place(order: Sequence[str]) -> Callable[[Row], tuple]:
+    """Sort key of a row; nulls come first, as in Spark."""
+    return lambda row: tuple((row[c] is not None, row[c]) for c in order)
 
 
 class DayFirsts(StatefulProcessor):
@@ -54,7 +55,7 @@ class DayFirsts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = {k[0] for k in self.days.keys()} if self.days.exists() else set()
-        for row in _sorted(rows, self.order):
+        for row in sorted(rows, key=_place(self.order)):
             day = row["_day"]
             if day in known:
                 continue
@@ -83,7 +84,7 @@ class VisitorFlag(StatefulProcessor):
             rows = list(rows)
             good = [r for r in rows if r[self.ok]]
             if good:
-                head = min(good, key=lambda r: tuple(r[c] for c in self.order))
+                head = min(good, key=_place(self.order))
                 first = head[self.day] - (0 if head[self.flag] == "1" else 1)
                 self.first.update((first,))
         for row in rows:  # with the first day known, rows do not depend on each other
@@ -108,7 +109,7 @@ class Retraction(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = tuple(self.last.get()) if self.last.exists() else None
-        for row in _sorted(rows, self.order):
+        for row in sorted(rows, key=_place(self.order)):
             if last is not None:
                 yield self.out(*[-v if i in self.at else v for i, v in enumerate(last)], -1)
             yield self.out(*row, 1)

@@ -1,10 +1,13 @@
 """Stream forms give what the batch forms give on the same rows."""
 
+import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
 from rillmart.plans import detail, summary
 from rillmart.streaming import jobs
+from rillmart.streaming.processors import _place, thin
 from streams import as_stream, rows, run_keyed
 
 WINDOW = ["stt", "edt"]
@@ -22,6 +25,14 @@ def same(stream_df, batch_df, tmp, keys, mode="update"):
     return query
 
 
+def test_order_puts_nulls_first():
+    made = [Row(ts=1, vc="a"), Row(ts=1, vc=None), Row(ts=0, vc=None), Row(ts=1, vc=None)]
+    assert [(r.ts, r.vc) for r in sorted(made, key=_place(["ts", "vc"]))] == [(0, None), (1, None), (1, None), (1, "a")]
+    batch = pd.DataFrame({"k": ["u"] * 3, "_day": [1, 1, 2], "ts": [5, 5, 6], "vc": ["a", None, "b"]})
+    kept = next(thin(["k"], ["ts", "vc"])([batch]))
+    assert kept["_day"].tolist() == [1, 2] and kept["vc"].isna().tolist() == [True, False]
+
+
 def test_page_view(spark, sf, tmp_path):
     src = log(spark, sf)
     live = jobs.page_view(as_stream(src, tmp_path / "in", "ts"), mode="update")
