@@ -5,6 +5,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
+from rillmart.operators import parse
 from rillmart.plans import detail, summary
 from rillmart.streaming import jobs
 from rillmart.streaming.processors import _place, thin
@@ -185,3 +186,37 @@ def test_pay_and_refund_streams(spark, sf, tmp_path):
             "checkpointLocation", out + "_c").trigger(availableNow=True).start()
         assert q.awaitTermination(120) and q.exception() is None
         assert rows(want) and rows(spark.read.parquet(out)) == rows(want.drop("t"))
+
+
+def test_cart_and_refund_user_streams(spark, sf, tmp_path):
+    cdc = feeds.cdc_frame(spark, sf).withColumn("s", F.col("ts").cast("long"))
+    dic, dims = feeds.dictionary(spark, sf), feeds.dimensions(spark, sf)
+    carts = as_stream(cdc.where(F.col("table") == "cart_info"), tmp_path / "cart", "s", 2)
+    q = detail.cart_add(carts, dic).drop("t").writeStream.format("parquet").option(
+        "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert q.awaitTermination(120) and q.exception() is None
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(detail.cart_add(cdc, dic).drop("t"))
+    asked = detail.order_refund(cdc, dic).withColumn("s", F.col("ts").cast("long"))
+    live = jobs.refund_users(as_stream(asked, tmp_path / "refund", "s"), dims, width="1 hour")
+    want = summary.refund_users(asked, dims, width="1 hour")
+    same(live, want, tmp_path / "2", [*WINDOW, "trademark_id", "category3_id", "user_id"])
+
+
+def test_cancel_detail_stream(spark, sf, tmp_path):
+    """Lines wait up to fifteen minutes for their cancellation."""
+    cdc = feeds.cdc_frame(spark, sf).withColumn("s", F.col("ts").cast("long"))
+    cdc = cdc.where(F.col("table").startswith("order_") & (F.col("table") != "order_refund_info"))
+    dic = feeds.dictionary(spark, sf)
+    live = as_stream(cdc, tmp_path / "in", "s")
+    cdc.where(F.col("table") != "order_info").dropDuplicates(["table"]).withColumn(
+        "data", feeds.entries(id=F.lit("end"), order_id=F.lit("end"), order_detail_id=F.lit("end"))).withColumn(
+        "t", F.timestamp_seconds(F.lit(4000000000))).unionByName(
+        cdc.where(parse.moved_to("order_status", "1003")).limit(1).withColumn(
+            "data", feeds.entries(id=F.lit("end"), order_status=F.lit("1003"))).withColumn(
+            "t", F.timestamp_seconds(F.lit(4000000000)))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = detail.cancel_detail(live.withWatermark("t", "10 seconds"), dic)
+    q = live.drop("t").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert q.awaitTermination(200) and q.exception() is None
+    want = rows(detail.cancel_detail(cdc, dic).drop("t"))
+    assert want and rows(spark.read.parquet(str(tmp_path / "out"))) == want
