@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, urls
+from . import bpe, mixing, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")

@@ -28,3 +28,53 @@ SELECT page_id, host, path, rule, CASE
     ELSE 'allow' END AS verdict
 FROM judged
 """
+
+SQL["op10_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(concat_ws('|', 'mix', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS sign FROM documents),
+classed AS (
+  SELECT *, CASE WHEN size = 0 THEN 1 ELSE floor(log2(size + 0.5))::INT + 1 END AS c,
+         (('0x' || substr(sign, 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u FROM sized),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM classed GROUP BY source),
+weighed AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w, source_size * 3 AS cap FROM sources),
+by_cap AS (
+  SELECT *, sum(source_size) OVER () AS total, row_number() OVER o AS k,
+         sum(cap) OVER o AS capped, sum(w) OVER () - sum(w) OVER o AS rest,
+         lead(cap / w) OVER o AS next_ratio, min(cap / w) OVER () AS least_ratio, sum(w) OVER () AS all_w
+  FROM weighed WINDOW o AS (ORDER BY cap / w, source ROWS UNBOUNDED PRECEDING)),
+rate AS (
+  SELECT coalesce(max(total::DOUBLE / all_w) FILTER (total::DOUBLE / all_w <= least_ratio),
+                  min_by((total - capped)::DOUBLE / rest, k) FILTER (rest > 0 AND (total - capped)::DOUBLE / rest <= next_ratio)) AS r
+  FROM by_cap),
+targets AS (
+  SELECT source, source_size, least(cap::DOUBLE, r * w) AS target FROM weighed, rate),
+classes AS (
+  SELECT c.source, c.c, sum(c.size)::BIGINT AS s FROM classed c GROUP BY ALL),
+upto AS (
+  SELECT c.*, t.source_size, t.target, sum(s) OVER o AS head, lead(c) OVER o AS next_c,
+         sum(s * c) OVER (PARTITION BY c.source) - sum(s * c) OVER o AS tail,
+         sum(s * c) OVER (PARTITION BY c.source) AS al, max(c) OVER (PARTITION BY c.source) AS top
+  FROM classes c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source
+  WINDOW o AS (PARTITION BY c.source ORDER BY c DESC ROWS UNBOUNDED PRECEDING)),
+rated AS (
+  SELECT *, least(3.0::DOUBLE, coalesce(CASE WHEN al = 0 THEN 0.0::DOUBLE
+      WHEN target / al::DOUBLE * top <= 3 THEN target / al::DOUBLE
+      ELSE max_by((target - 3 * head::DOUBLE) / tail::DOUBLE, c) FILTER (tail > 0 AND (target - 3 * head::DOUBLE) / tail::DOUBLE * next_c <= 3)
+           OVER (PARTITION BY source) END, 3.0::DOUBLE) * c) AS wanted FROM upto),
+ranked AS (
+  SELECT d.doc_id, d.source, d.size, d.sign, r.source_size, r.target, floor(r.wanted)::BIGINT AS certain,
+         r.wanted - floor(r.wanted) AS f, d.u
+  FROM classed d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source AND d.c = r.c),
+ordered AS (
+  SELECT *, CASE WHEN f > 0 THEN (u * (1 - f)) / ((1 - u) * f) END AS q,
+         target - sum(certain * size) OVER (PARTITION BY source) AS missing FROM ranked),
+filled AS (
+  SELECT *, sum(CASE WHEN q IS NOT NULL THEN size ELSE 0 END) OVER (
+      PARTITION BY source ORDER BY q NULLS FIRST, sign ROWS UNBOUNDED PRECEDING) AS upto FROM ordered),
+mixed AS (
+  SELECT *, certain + CASE WHEN q IS NOT NULL AND 2 * upto - size <= 2 * missing THEN 1 ELSE 0 END AS copies FROM filled)
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source, copies FROM mixed
+"""
