@@ -6,10 +6,10 @@ import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, urls
+from . import bpe, langid, mixing, toxicity, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,28 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def remainder(modulus: int, column: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels, remainder(5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return langid.predict(docs, langid.train(docs, remainder(4) != 2)).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
