@@ -38,7 +38,7 @@ def features(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 class Ftrl:
     """Per-coordinate rates with L1 and L2; the last coordinate is the bias, which no penalty shrinks."""
 
-    def __init__(self, size: int, alpha: float = 2.0, beta: float = 0.1, l1: float = 10.0, l2: float = 0.01):
+    def __init__(self, size: int, alpha: float = 2.0, beta: float = 0.1, l1: float = 4.0, l2: float = 0.01):
         self.z, self.n = np.zeros(size + 1), np.zeros(size + 1)
         self.alpha, self.beta, self.l1, self.l2, self.bias = alpha, beta, l1, l2, size
 
