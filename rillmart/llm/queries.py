@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, toxicity, urls
+from . import bpe, fingerprints, langid, mixing, toxicity, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edit_likeness(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 @query
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
