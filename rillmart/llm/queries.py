@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, neighbours, toxicity, urls
+from . import bpe, fingerprints, langid, mixing, neighbours, ngram_join, toxicity, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.neighbours(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"), k=3, least=90)
+
+
 def remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
