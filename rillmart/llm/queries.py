@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, neighbours, ngram_join, toxicity, urls
+from . import bpe, fingerprints, langid, mixing, neighbours, ngram_join, passages, toxicity, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.shared_passages(spark.read.parquet(f"{sf}/documents.parquet")).select(
+        "doc_id", "start", "end", "other_id", "other_start", "other_end", "equal")
+
+
 @query
 def op4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark, 4096)
