@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .frames import checkpointed
+
 BITS = 15
 SIZE = 1 << BITS
 SAMPLE = 6_000
@@ -144,7 +146,7 @@ def _fit(idf, epochs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
 def train(docs: DataFrame, learn_from: Column | None = None, sample: int = SAMPLE, epochs: int = 3) -> Model:
     """The model learnt from rows with text and lang for which ``learn_from`` holds.
 
-    Frequencies cover all such rows. The fit uses at most ``sample`` of them, the first by a hash of
+    Frequencies cover all such rows. The fit uses at most ``sample`` of them, chosen by a hash of
     doc_id, the languages taking turns; that is the documented bound of what one task holds.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -158,9 +160,12 @@ def train(docs: DataFrame, learn_from: Column | None = None, sample: int = SAMPL
     n = counted.pop(-1, 0)
     seen[list(counted)] = list(counted.values())
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+    totals = checkpointed(known.groupBy("lang").count())
+    enough = 2.0 * sample / max(1, totals.count()) / F.col("count")      # twice a language's part of the sample
+    placed = known.select("doc_id", "lang", F.xxhash64(F.lit("language"), "doc_id").alias("place")).join(totals, "lang").filter(
+        F.pmod("place", F.lit(1 << 30)) < enough * (1 << 30))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    chosen = known.select("doc_id", "lang", F.xxhash64(F.lit("language"), "doc_id").alias("place")).withColumn(
-        "turn", turn).filter(F.col("turn") <= sample).orderBy("turn", "place", "lang").limit(sample).select(
+    chosen = placed.withColumn("turn", turn).orderBy("turn", "place", "lang").limit(sample).select(
         "doc_id", "lang", "place").distinct()
     rows = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).select("place", "lang", "text").mapInArrow(
         _sampled, "place long, lang string, at binary, n binary")
