@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, neighbours, ngram_join, passages, toxicity, urls
+from . import bpe, fingerprints, langid, lm, mixing, neighbours, ngram_join, passages, toxicity, urls
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edit_likeness(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+@query
+def op8_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark, 64)
+    return lm.score(spark.read.parquet(f"{sf}/documents.parquet"), remainder(5) != 1)
+
+
 @query
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
