@@ -179,8 +179,8 @@ def _encode(content, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterato
         cache.update(vocab.encode_pieces([x for x in new if x not in cache]))
         packed = [b"".join(map(cache.__getitem__, pieces)) for pieces in texts]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())],
-            names=[batch.schema.names[0], "n_tokens", "ids"])
+            [*batch.columns[:-1], pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())],
+            names=[*batch.schema.names[:-1], "n_tokens", "ids"])
 
 
 def _decode(content, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +197,8 @@ def _content(spark, path: str):
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
-    """(id, n_tokens long, ids binary) of every row's whole ``text``.
+def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(``keep``, n_tokens long, ids binary) of every row's whole ``text``.
 
     ``ids`` packs the token ids as little-endian unsigned 32-bit integers. Special tokens are
     never made; their strings are ordinary text. Null text counts as empty: no ids. Bytes that
@@ -207,9 +207,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id")
     by a heap, with the same result.
     """
     content = _content(docs.sparkSession, path)
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, F.col("text").cast("binary").alias("text")).mapInArrow(
-        lambda it: _encode(content, pattern, it), f"`{id_column}` {kind}, n_tokens long, ids binary")
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return docs.select(*keep, F.col("text").cast("binary").alias("text")).mapInArrow(
+        lambda it: _encode(content, pattern, it), f"{kinds}n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

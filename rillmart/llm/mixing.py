@@ -96,6 +96,11 @@ def class_rates(sized: DataFrame, targets: DataFrame, most: int) -> DataFrame:
                     (F.col("wanted") - F.floor("wanted")).alias("f")))
 
 
+def row_sign(seed: str) -> Column:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
+
+
 def salted(rows: DataFrame, figures: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined to per-source ``figures``, a source's rows being dealt over ``SALTS`` keys."""
     copies = figures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -114,8 +119,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
     Null text: size 0. Null source: a source of its own. Null doc_id: a row like others.
     Empty table: empty result. Other columns are read only if named in ``keep``.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    sign = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
+    text, sign = F.coalesce(F.col("text"), F.lit("")), row_sign(seed)
     sized = checkpointed(docs.select(
         F.struct("doc_id", "source", *keep).alias("row"), F.col("source").isNull().alias("no_source"),
         F.coalesce("source", F.lit("")).alias("source_key"),
@@ -149,3 +153,15 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
     return outside.unionByName(inside).select(
         "row.*", "sign", "size", "source_size", "target", (F.col("certain") + F.col("extra")).alias("copies"),
         ((F.col("certain") + F.col("extra")) * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: str = "mix") -> DataFrame:
+    """The mix itself: every row of ``docs``, with all its columns, as many times as it is taken.
+
+    Rows of equal doc_id and text share their copies: together they come as often as they were taken.
+    """
+    signed = docs.withColumn("__sign", row_sign(seed))
+    once = mix_sources(docs, weights, most, seed).filter(F.col("copies") > 0).groupBy(F.col("sign").alias("__sign")).agg(
+        F.sum("copies").alias("__copies"))
+    return signed.join(once, "__sign").dropDuplicates(["__sign"]).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)

@@ -195,11 +195,12 @@ def verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: groups of texts linked by similarity.
+    """(doc_id, n_shingles, component_id, sign, is_first) of every row: groups of texts linked by similarity.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased. The set of a text is its
     distinct runs of ``k`` words; with fewer words, the whole sequence as one. Two rows link when
-    100 * intersection >= ``least`` * union. ``component_id`` is the smallest doc_id reachable by links.
+    100 * intersection >= ``least`` * union. ``component_id`` is the smallest doc_id reachable by links;
+    ``is_first`` marks its row (ties by ``sign``, a hash of the text; equal rows alike).
 
     Null texts and those without a word have an empty set (n_shingles 0), link with nothing and are their own
     component. Repeated rows link with each other. A null doc_id is never the smallest unless
@@ -212,12 +213,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFram
         lambda it: _members(k, it), f"doc_id {kind}, sign long, n_shingles long, class long"))
     groups = class_components(texts, members, k, least)
     named = members.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    firsts = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    grouped = named.filter(F.col("component").isNotNull()).join(firsts, "component").select("doc_id", "n_shingles", "component_id")
-    alone = named.filter(F.col("component").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sign")
+    firsts = named.filter(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min("doc_id").alias("component_id"), F.min(row).alias("first"))
+    grouped = named.filter(F.col("component").isNotNull()).join(firsts, "component").select(
+        "doc_id", "n_shingles", "component_id", "sign", (row == F.col("first")).alias("is_first"))
+    alone = named.filter(F.col("component").isNull()).select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "sign", F.lit(True).alias("is_first"))
     return grouped.unionByName(alone)
 
 
+def without_near_duplicates(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: that of smallest doc_id (nulls last, ties by
+    a hash of the text; of equal rows any). Rows without a word are in no group and stay."""
+    gone = jaccard_components(docs, k, least).filter(~F.col("is_first")).select(
+        F.col("doc_id").alias("__gone"), F.col("sign").alias("__sign")).distinct()
+    signed = docs.withColumn("__sign", F.xxhash64("text"))
+    rest = signed.join(gone, (signed["__sign"] == gone["__sign"]) & signed["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    single = F.when(worded, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    return rest.withColumn("__single", single).dropDuplicates(["__sign", "doc_id", "__single"]).select(*docs.columns)
+
+
 def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -> DataFrame:
     """(class, component) of every class that links with another."""
     spread = partitions(texts.sparkSession)

@@ -53,7 +53,8 @@ def op4_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
-    return ngram_join.jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"), k=3, least=90)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return ngram_join.jaccard_components(docs, k=3, least=90).select("doc_id", "n_shingles", "component_id")
 
 
 def remainder(modulus: int, column: str = "doc_id") -> Column:

@@ -100,31 +100,34 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     return model["at"].to_numpy(), model["w"].to_numpy()
 
 
-def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(model, carry_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, w = model.value
     table = np.zeros((1 << BITS) + 1)
     table[at] = w
     for batch in batches:
-        found, owner = features(*word_hashes(batch.column("text").to_pylist()))
+        found, owner = features(*word_hashes(batch.column("__text").to_pylist()))
         some = table[found] != 0
         keys = np.unique(owner[some] << BITS | found[some])
         sums = np.bincount(keys >> BITS, table[keys & ((1 << BITS) - 1)], batch.num_rows) + table[-1]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))), pa.float64())],
-            names=[*batch.schema.names[:-1], "score"])
+        scores = pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))), pa.float64())
+        rest = [batch.column("__text").cast(pa.string())] if carry_text else []
+        yield pa.RecordBatch.from_arrays([batch.column("__row"), *rest, scores],
+                                         names=["__row", *(["__text"] if rest else []), "score"])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: tuple[str, ...] = ("doc_id",),
+          carry_text: bool = False) -> DataFrame:
     """``keep`` and ``score`` (0 to 1) of every row's whole text.
 
     Null and empty texts get the score of the bias alone. Repeated rows get equal scores. An empty
-    table gives an empty result. Columns not in ``keep`` are not read.
+    table gives an empty result. Columns not in ``keep`` are not read; one of them called score is
+    replaced. ``carry_text`` says that text is among those kept, so that it is sent only once.
     """
     weights = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col("text").cast("binary").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _score(weights, (b.rename_columns([*b.schema.names[:-1], "text"]) for b in batches))
-
-    return rows.mapInArrow(run, f"{schema}, score double")
+    plain = [c for c in keep if c not in ("score", "text" if carry_text else "")]
+    rows = docs.select(F.struct(*plain).alias("__row"), F.col("text").cast("binary").alias("__text"))
+    text = "__text string, " if carry_text else ""
+    scored = rows.mapInArrow(lambda it: _score(weights, carry_text, it),
+                             f"__row {rows.schema['__row'].dataType.simpleString()}, {text}score double")
+    return scored.select(*(F.col("__text").alias(c) if carry_text and c == "text" else F.col("__row")[c].alias(c)
+                           for c in keep if c != "score"), "score")
