@@ -8,9 +8,10 @@ of their hashes, which cuts into fragments of equal share without counting.
    ``s (1 - t) / (1 + t)`` n-grams. The order is cut into more fragments than that (finer for larger
    sets, by size class), so one fragment at least is equal in both. Classes meet by the hash of a fragment.
    If a set has more non-empty fragments than may differ, its empty ones need no row.
-3. In a bucket of equal fragments, every class is paired with the bucket's least class only. What these
-   links connect needs no more pairs. Buckets in which several components are left then pair their
-   classes across components, if their histograms over the order allow the similarity at all.
+3. In a bucket of equal fragments, every class is paired only with the one that shares most fragments
+   with others, which of near copies is the least edited. What these links connect needs no more pairs.
+   Buckets in which several components are left then pair their classes across components.
+   Pairs whose histograms over the order rule the similarity out are dropped before.
 4. Partial overlaps: every pair's two sets are cut into ``VERTICAL`` fragments of the order;
    each fragment's overlap is counted apart, then summed over the pair: the exact intersection.
 
@@ -33,7 +34,7 @@ from .frames import checkpointed, partitions
 from .words import by_text, mix, shingle_hashes, word_hashes
 
 VERTICAL = 8
-BINS = 64
+BINS = 256
 
 
 class Sizes:
@@ -51,8 +52,8 @@ class Sizes:
     def classes(self, n: int) -> list[tuple[int, int, int]]:
         """(class, n-grams that may differ, fragments) under which a set of ``n`` meets others."""
         own = bisect_right(self.starts, n) - 1
-        found = [own] if n * 100 < self.least * self.starts[own + 1] else [own, own + 1]
-        differ = [(c, self.may_differ(2 * (self.starts[c + 1] - 1))) for c in found]
+        last = bisect_right(self.starts, n * 100 // self.least) - 1
+        differ = [(c, self.may_differ(2 * (self.starts[c + 1] - 1))) for c in range(own, last + 1)]
         return [(c, d, d + d // 6 + 2) for c, d in differ if d]
 
 
@@ -108,34 +109,29 @@ def _keys(k: int, least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, class): those of keys with several classes, with the least class."""
-    last = None                      # (key, class, least, already given)
+    """Of rows sorted by (key, class): those of keys that several classes share, each once."""
+    last = None                      # (key, class, already given)
     for batch in batches:
         if not batch.num_rows:
             continue
         key, of = batch.column("key").to_numpy(), batch.column("class").to_numpy()
         given = np.zeros(len(key), bool)
         if last is not None:
-            key, of = np.append(last[0], key), np.append(last[1], of)
-            given = np.append(last[3], given)
+            key, of, given = (np.append(x, y) for x, y in zip(last, (key, of, given), strict=True))
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])))
         key, of, given = key[new], of[new], given[new]
         as_before = np.concatenate(([False], key[1:] == key[:-1]))
-        heads = np.flatnonzero(~as_before)
-        least = np.repeat(of[heads], np.diff(np.append(heads, len(key))))
-        if last is not None:
-            least[key == last[0]] = last[2]
-        several = as_before | np.append(as_before[1:], False) | (of != least)
+        several = given | as_before | np.append(as_before[1:], False)
         some = several & ~given
-        last = (key[-1], of[-1], least[-1], bool(several[-1]))
+        last = (key[-1], of[-1], bool(several[-1]))
         if some.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (key, of, least)], names=["key", "class", "least"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(of[some])], names=["key", "class"])
 
 
 def _parts(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(sets_of(batch.column("text").to_pylist(), k))
-        bins = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS) for s in sets]
+        bins = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BINS) for s in sets]
         cuts = [np.concatenate(([0], np.cumsum(b)))[:: BINS // VERTICAL] for b in bins]
         yield pa.RecordBatch.from_arrays(
             [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
@@ -240,14 +236,16 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
     spread = partitions(texts.sparkSession)
     keys = texts.select("text").mapInArrow(lambda it: _keys(k, least, it), "key long, class long")
     buckets = checkpointed(keys.repartition(spread, "key").sortWithinPartitions("key", "class").mapInArrow(
-        _shared, "key long, class long, least long"))
-    wanted = buckets.select("class").distinct()
-    first = members.join(wanted, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "sign")).alias("first"))
+        _shared, "key long, class long"))
+    wanted = buckets.groupBy("class").agg(F.count("*").alias("shared"))
+    first = members.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "sign")).alias("first"))
     chosen = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign"))
     sets = checkpointed(texts.join(chosen, (texts["sign"] == chosen["sign"]) & texts["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
                         .select("text").mapInArrow(lambda it: _parts(k, it), "class long, n long, bins array<int>, parts array<array<long>>")
                         .dropDuplicates(["class"]))
-    stars = buckets.filter(F.col("class") != F.col("least")).select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
+    centres = buckets.join(wanted, "class").groupBy("key").agg(F.max(F.struct("shared", "class")).getField("class").alias("centre"))
+    stars = buckets.join(centres, "key").filter(F.col("class") != F.col("centre")).select(
+        F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
     links = checkpointed(verified(stars, sets, least))
     parts = checkpointed(components(links))
     placed = buckets.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
