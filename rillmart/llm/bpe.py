@@ -24,7 +24,7 @@ NONE = np.int64(1 << 40)
 WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 BUCKET = [next(i for i, w in enumerate(WIDTHS) if w >= n) for n in range(WIDTHS[-1] + 1)]
 CELLS = 1 << 19          # cells of one matrix
-CACHE = 500_000          # distinct pieces that a worker remembers; then it starts anew
+CACHE = 250_000          # distinct pieces that a worker remembers; then it starts anew
 BITS = 20
 
 

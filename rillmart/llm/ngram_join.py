@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .frames import checkpointed, partitions
@@ -35,6 +36,8 @@ from .words import by_text, mix, shingle_hashes, word_hashes
 
 VERTICAL = 8
 BINS = 256
+HELD = 2_000_000         # keys that a task holds before it sends or gives them
+CROWD = 2_000            # classes of one bucket that are compared in one group
 
 
 class Sizes:
@@ -98,34 +101,83 @@ def _members(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             names=["doc_id", "sign", "n_shingles", "class"])
 
 
-def _keys(k: int, least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(k: int, least: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs (bucket, keys, classes, counts) of the fragment keys of distinct sets.
+
+    A key's high half names its bucket, its low half is sent: 4 bytes, with 9 more for a set and bucket.
+    Two keys that agree by chance cost a candidate, which is verified like others.
+    """
     sizes = Sizes(least)
+    found: dict[int, np.ndarray] = {}
+
+    def packs() -> pa.RecordBatch:
+        keys = np.concatenate(list(found.values())).view(np.uint64)
+        of = np.repeat(np.fromiter(found, np.int64, len(found)), [len(x) for x in found.values()])
+        bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        order = np.argsort(bucket, kind="stable")
+        keys, of, bucket = keys[order], of[order], bucket[order]
+        new = np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (of[1:] != of[:-1])))
+        heads = np.flatnonzero(new)
+        counts = np.diff(np.append(heads, len(keys)))
+        bounds = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        cuts, runs = np.append(bounds, len(keys)), np.searchsorted(heads, np.append(bounds, len(keys)))
+        rows = [(int(bucket[i]), keys[i:j].astype("<u4").tobytes(), of[heads[r:q]].tobytes(), counts[r:q].astype("<u4").tobytes())
+                for i, j, r, q in zip(cuts[:-1], cuts[1:], runs[:-1], runs[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+            zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
+            names=["bucket", "keys", "classes", "counts"])
+
+    held = 0
     for batch in batches:
-        sets = [s for s in sets_of(batch.column("text").to_pylist(), k) if len(s)]
-        keys = [fragment_keys(s, sizes) for s in sets]
-        of = np.repeat(np.array([class_of(s) for s in sets], np.int64), [len(x) for x in keys])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)), pa.array(of)], names=["key", "class"])
+        for grams in sets_of(batch.column("text").to_pylist(), k):
+            if len(grams) and (of := class_of(grams)) not in found and len(keys := fragment_keys(grams, sizes)):
+                found[of] = keys
+                held += len(keys)
+        if held > HELD:
+            yield packs()
+            found, held = {}, 0
+    if held:
+        yield packs()
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, class): those of keys that several classes share, each once."""
-    last = None                      # (key, class, already given)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, of = batch.column("key").to_numpy(), batch.column("class").to_numpy()
-        given = np.zeros(len(key), bool)
-        if last is not None:
-            key, of, given = (np.append(x, y) for x, y in zip(last, (key, of, given), strict=True))
+    """Of packs sorted by bucket: (key, class) for the keys that several classes share, each once.
+
+    When more than ``HELD`` keys of a bucket are held, the shared ones are given and one row is kept for each
+    key, so a key that very many classes share takes one row's memory.
+    """
+    number, held, size = None, [], 0
+
+    def given() -> tuple[pa.RecordBatch | None, tuple]:
+        key, of, done = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((~done, of, key))
+        key, of, done = key[order], of[order], done[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])))
-        key, of, given = key[new], of[new], given[new]
-        as_before = np.concatenate(([False], key[1:] == key[:-1]))
-        several = given | as_before | np.append(as_before[1:], False)
-        some = several & ~given
-        last = (key[-1], of[-1], bool(several[-1]))
-        if some.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(of[some])], names=["key", "class"])
+        key, of, done = key[new], of[new], done[new]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        several = ~first | np.append(~first[1:], False)
+        some = several & ~done
+        rows = pa.RecordBatch.from_arrays([pa.array((number << 32) + key[some].astype(np.int64)), pa.array(of[some])],
+                                          names=["key", "class"]) if some.any() else None
+        return rows, (key[first], of[first], (done | several)[first])
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["bucket"] != number or size > HELD:
+                if held:
+                    rows, rest = given()
+                    if rows is not None:
+                        yield rows
+                    held, size = ([], 0) if r["bucket"] != number else ([rest], 0)
+                number = r["bucket"]
+            keys = np.frombuffer(r["keys"], "<u4")
+            of = np.repeat(np.frombuffer(r["classes"], np.int64), np.frombuffer(r["counts"], "<u4"))
+            held.append((keys, of, np.zeros(len(keys), bool)))
+            size += len(keys)
+    if held:
+        rows, _ = given()
+        if rows is not None:
+            yield rows
 
 
 def _parts(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,33 +194,43 @@ def _parts(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _across(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key: pairs of different components that may be similar enough."""
-    sizes, held = Sizes(least), None
+    """Of rows sorted by (key, low, high): pairs of different components that may be similar enough.
+
+    A group holds two parts of a bucket, or one part twice named; pairs are made between the parts.
+    """
+    held, names = None, ("key", "low", "high", "part", "class", "component", "n")
 
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(rows["key"])) + 1, [len(rows["key"])]))
+        new = np.zeros(len(rows["key"]), bool)
+        for c in ("key", "low", "high"):
+            new[1:] |= rows[c][1:] != rows[c][:-1]
+        cuts = np.concatenate(([0], np.flatnonzero(new), [len(new)]))
         for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            of, part, n, bins = (rows[c][start:end] for c in ("class", "component", "n", "bins"))
+            of, side, part, n, bins = (rows[c][start:end] for c in ("class", "part", "component", "n", "bins"))
+            two = rows["low"][start] != rows["high"][start]
             for i in range(end - start - 1):
-                other = np.flatnonzero(part[i + 1:] != part[i]) + i + 1
+                other = np.flatnonzero((part[i + 1:] != part[i]) & ((side[i + 1:] != side[i]) | ~two)) + i + 1
                 apart = np.abs(bins[other] - bins[i]).sum(axis=1)
                 some = other[apart * (100 + least) <= (n[other] + n[i]) * (100 - least)]
                 if len(some):
                     yield np.minimum(of[i], of[some]), np.maximum(of[i], of[some])
 
     def out(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if found := list(pairs(rows)):
+        if len(rows["key"]) and (found := list(pairs(rows))):
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {c: batch.column(c).to_numpy() for c in ("key", "class", "component", "n")}
+        rows = {c: batch.column(c).to_numpy() for c in names}
         rows["bins"] = batch.column("bins").flatten().to_numpy().reshape(batch.num_rows, BINS)
         if held is not None:
             rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
-        at = int(np.searchsorted(rows["key"], rows["key"][-1]))
+        same = np.ones(len(rows["key"]), bool)
+        for c in ("key", "low", "high"):
+            same &= rows[c] == rows[c][-1]
+        at = int(np.flatnonzero(same)[0])
         yield from out({c: v[:at] for c, v in rows.items()})
         held = {c: v[at:] for c, v in rows.items()}
     if held is not None:
@@ -222,20 +284,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFram
 def without_near_duplicates(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
     """``docs`` with one row of each group of linked texts: that of smallest doc_id (nulls last, ties by
     a hash of the text; of equal rows any). Rows without a word are in no group and stay."""
-    gone = jaccard_components(docs, k, least).filter(~F.col("is_first")).select(
-        F.col("doc_id").alias("__gone"), F.col("sign").alias("__sign")).distinct()
-    signed = docs.withColumn("__sign", F.xxhash64("text"))
-    rest = signed.join(gone, (signed["__sign"] == gone["__sign"]) & signed["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    single = F.when(worded, F.lit(-1)).otherwise(F.monotonically_increasing_id())
-    return rest.withColumn("__single", single).dropDuplicates(["__sign", "doc_id", "__single"]).select(*docs.columns)
+    key = ["__sign", "__id", "__no_id"]
+
+    def keyed(rows: DataFrame, sign: Column) -> DataFrame:
+        return rows.withColumn("__sign", sign).withColumn("__no_id", F.col("doc_id").isNull()).withColumn(
+            "__id", F.coalesce("doc_id", F.lit(0)))
+
+    rows = keyed(jaccard_components(docs, k, least).filter(F.col("n_shingles") > 0), F.col("sign"))
+    marks = rows.groupBy(*key).agg(F.count("*").alias("__times"), F.min("is_first").alias("__first")).filter(
+        ~F.col("__first") | (F.col("__times") > 1))
+    kept = keyed(docs, F.xxhash64("text")).join(marks, key, "left").filter(F.coalesce("__first", F.lit(True)))
+    again = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    return kept.withColumn("__again", again).filter(F.col("__times").isNull() | (F.col("__again") == 1)).select(*docs.columns)
 
 
 def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -> DataFrame:
     """(class, component) of every class that links with another."""
     spread = partitions(texts.sparkSession)
-    keys = texts.select("text").mapInArrow(lambda it: _keys(k, least, it), "key long, class long")
-    buckets = checkpointed(keys.repartition(spread, "key").sortWithinPartitions("key", "class").mapInArrow(
+    packs = texts.select("text").mapInArrow(
+        lambda it: _keys(k, least, spread, it), "bucket int, keys binary, classes binary, counts binary")
+    buckets = checkpointed(packs.repartition(spread, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _shared, "key long, class long"))
     wanted = buckets.groupBy("class").agg(F.count("*").alias("shared"))
     first = members.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "sign")).alias("first"))
@@ -250,11 +318,14 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
     parts = checkpointed(components(links))
     placed = buckets.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
-        F.col("x") != F.col("y")).select("key")
-    crowd = placed.join(open_keys, "key", "left_semi").join(sets.select("class", "n", "bins"), "class").select(
-        "key", "class", "component", "n", "bins")
-    more = crowd.repartition(spread, "key").sortWithinPartitions("key").mapInArrow(
+    open_keys = placed.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count("*") / CROWD).alias("parts")).filter(
+        F.col("x") != F.col("y")).select("key", "parts")
+    crowd = placed.join(open_keys, "key").withColumn("part", F.pmod(F.xxhash64("class"), "parts")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    groups = crowd.join(sets.select("class", "n", "bins"), "class").select(
+        "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "class", "component", "n", "bins")
+    more = groups.repartition(spread, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(
         lambda it: _across(least, it), "a long, b long").distinct()
     all_links = links.unionByName(verified(more, sets, least))
     return components(all_links).withColumnRenamed("node", "class")

@@ -19,7 +19,7 @@ from .words import BASE, mix, word_hashes
 
 BITS = 20
 SKIPS = (1, 2, 3)
-SAMPLE = 24_000
+SAMPLE = 16_000
 
 
 def features(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
