@@ -22,6 +22,7 @@ from .frames import checkpointed
 BITS = 15
 SIZE = 1 << BITS
 SAMPLE = 6_000
+SALTS = 32
 UNDETERMINED = "und"
 
 
@@ -162,8 +163,10 @@ def train(docs: DataFrame, learn_from: Column | None = None, sample: int = SAMPL
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
     totals = checkpointed(known.groupBy("lang").count())
     enough = 2.0 * sample / max(1, totals.count()) / F.col("count")      # twice a language's part of the sample
-    placed = known.select("doc_id", "lang", F.xxhash64(F.lit("language"), "doc_id").alias("place")).join(totals, "lang").filter(
-        F.pmod("place", F.lit(1 << 30)) < enough * (1 << 30))
+    shares = totals.select("lang", enough.alias("share"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    place = F.xxhash64(F.lit("language"), "doc_id")
+    placed = known.select("doc_id", "lang", place.alias("place"), F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt")).join(
+        shares, ["lang", "salt"]).filter(F.pmod("place", F.lit(1 << 30)) < F.col("share") * (1 << 30))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
     chosen = placed.withColumn("turn", turn).orderBy("turn", "place", "lang").limit(sample).select(
         "doc_id", "lang", "place").distinct()
