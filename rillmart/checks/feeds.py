@@ -14,27 +14,14 @@ from ..functions import clock
 ORDER_EPOCH = 1_704_067_200  # fixed value: order 0 is placed at 2024-01-01 00:00:00
 ORDER_STEP_S = 7
 
-
-FACTS = ("lineitem", "orders", "events", "documents")
-
-
-_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+# A Han character for each letter.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN = "".join(chr(0x4E00 + i) for i in range(26))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table. Fact files with fewer splits than the cluster has cores are dealt out.
-
-    The sample files have one row group each, so one task would read and transform
-    the whole file. A table of any size has more splits than cores and is left alone.
-    The frame is kept, so a table's footers are read once per application.
-    """
-    at = (spark.sparkContext.applicationId, sf, name)
-    if at not in _TABLES:
-        df = spark.read.parquet(f"{sf}/{name}.parquet")
-        cores = spark.sparkContext.defaultParallelism
-        few = name in FACTS and df.rdd.getNumPartitions() < cores
-        _TABLES[at] = df.repartition(cores) if few else df
-    return _TABLES[at]
+    """A driver table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def entries(**columns: Column) -> Column:
@@ -93,10 +80,28 @@ def log_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_text(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw log: JSON text, every tenth record cut short."""
-    raw = F.to_json(F.struct("common", "page", "start", "err", "displays", "actions", "ts"))
+    """The raw log: JSON text with fields that no reader names, numbers and nested bodies.
+
+    Of ten records one is cut short and two have something behind the object; two more have white
+    space behind it, which does no harm.
+    """
+    def body(name: str) -> Column:
+        return F.try_parse_json(F.col(name)).alias(name)
+
+    def bodies(name: str) -> Column:
+        return F.transform(name, lambda x: F.try_parse_json(x)).alias(name)
+
+    number = F.col("event_id") % 10
+    raw = F.to_json(F.struct(
+        F.col("common").withField("os", F.concat(F.lit("os "), F.col("event_id") % 4)).alias("common"),
+        F.col("page").withField("during_time", F.col("page.during_time").cast("bigint"))
+        .withField("source_type", F.col("event_id") % 9).alias("page"),
+        body("start"), body("err"), bodies("displays"), bodies("actions"), "ts",
+        F.struct((F.col("event_id") % 100).alias("n"), F.array(F.lit("a"), F.lit("b")).alias("list")).alias("extra")))
+    tail = (F.when(number == 4, "\n").when(number == 5, " \t").when(number == 6, " garbage}")
+            .when(number == 7, ' {"x":1}').otherwise(""))
     return log_frame(spark, sf).select("event_id", F.explode(F.array(
-        F.when(F.col("event_id") % 10 == 3, F.substring(raw, 1, 40)).otherwise(raw))).alias("value"))
+        F.when(number == 3, F.substring(raw, 1, 40)).otherwise(F.concat(raw, tail)))).alias("value"))
 
 
 def purchases(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,7 +186,7 @@ def offer_changes(spark: SparkSession, sf: str) -> DataFrame:
     act = _envelope(
         li.where((F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0), "order_detail_activity",
         "insert", entries(order_detail_id=line_id(), activity_id=F.col("l_orderkey") % 5,
-                          activity_rule_id=F.col("l_linenumber") % 4), at)
+                          activity_rule_id=F.col("l_linenumber") % 4), at + F.when(F.col("l_linenumber") == 2, 8).otherwise(0))
     cou = _envelope(
         li.where((F.col("l_orderkey") + F.col("l_linenumber")) % 4 == 0), "order_detail_coupon",
         "insert", entries(order_detail_id=line_id(), coupon_id=F.col("l_orderkey") % 9), at)
@@ -189,30 +194,44 @@ def offer_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def payment_changes(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    at = order_time("o_orderkey") + F.col("o_orderkey") % 1000
-    return _envelope(o.where(F.col("o_orderstatus") != "F"), "payment_info", "update", entries(
-        order_id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
+    """Per order an update to successful; some are inserted before it, fail after it, or are repeated."""
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus") != "F")
+    key = F.col("o_orderkey")
+    what = lambda when, kind, status, later: F.when(when, F.struct(
+        F.lit(kind).alias("kind"), F.lit(status).alias("status"), F.lit(later).alias("later")))
+    every = o.withColumn("_p", F.explode(F.array_compact(F.array(
+        what(F.lit(True), "update", "1602", 0), what(key % 3 == 0, "insert", "1601", -2),
+        what(key % 5 == 0, "update", "1603", 1), what(key % 4 == 0, "update", "1602", 4)))))
+    at = order_time("o_orderkey") + key % 1000 + F.col("_p.later")
+    return _envelope(every, "payment_info", F.col("_p.kind"), entries(
+        order_id=key, user_id=F.col("o_custkey"),
         payment_type=code(F.col("o_custkey")), callback_time=_time_text(at),
-        payment_status=F.lit("1602")), at, entries(payment_status=F.lit("1601")))
+        payment_status=F.col("_p.status")), at,
+        F.when(F.col("_p.kind") == "update", entries(payment_status=F.lit("1601"))))
 
 
 def refund_changes(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     asked_at = order_time("l_orderkey") + F.col("l_linenumber") + 18
-    asked = _envelope(li, "order_refund_info", "insert", entries(
+    request = dict(
         id=line_id(), user_id=F.col("l_orderkey") % 997, order_id=F.col("l_orderkey"),
         sku_id=F.col("l_partkey"), refund_type=code(F.col("l_linenumber")),
         refund_num=F.col("l_quantity").cast("int"), refund_amount=money("l_extendedprice"),
         refund_reason_type=code(F.col("l_partkey")), refund_reason_txt=F.concat(F.lit("reason "), F.col("l_suppkey")),
-        create_time=_time_text(asked_at)), asked_at)
+        create_time=_time_text(asked_at))
+    asked = _envelope(li, "order_refund_info", "insert", entries(**request), asked_at)
+    done = _envelope(li.where(F.col("l_partkey") % 2 == 0), "order_refund_info", "update", entries(
+        **request, refund_status=F.lit("0705")), asked_at + 3, entries(refund_status=F.lit("0701")))
     paid_at = asked_at + 2
-    paid = _envelope(li, "refund_payment", "insert", entries(
+    status = F.when(F.col("l_linestatus") == "F", "0702").otherwise("0701")
+    payment = dict(
         id=line_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
         payment_type=code(F.col("l_suppkey")), callback_time=_time_text(paid_at),
-        total_amount=money("l_extendedprice"),
-        refund_status=F.when(F.col("l_linestatus") == "F", "0702").otherwise("0701")), paid_at)
-    return asked.unionByName(paid)
+        total_amount=money("l_extendedprice"), refund_status=status)
+    kind = F.when(F.col("l_suppkey") % 3 == 0, "update").otherwise("insert")
+    paid = _envelope(li, "refund_payment", kind, entries(**payment), paid_at,
+                     F.when(F.col("l_suppkey") % 3 == 0, entries(refund_status=F.lit("0701"))))
+    return asked.unionByName(done).unionByName(paid)
 
 
 def cart_changes(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,7 +335,7 @@ def rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rule_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """A change log of rules out of ``events``: put, delete or re-key, in event order."""
+    """A change log of rules out of ``events``: put, delete or re-key, three at a time of equal ``seq``."""
     e = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     name = lambda n: F.concat(F.lit("s"), n)
@@ -336,7 +355,17 @@ def rule_feed(spark: SparkSession, sf: str) -> DataFrame:
         F.when(gone | rekey, rule(key)).alias("before"),
         F.when(rekey, rule(moved)).when(~gone, rule(key)).alias("after"),
         F.when(gone, "d").when(rekey, "u").otherwise("c").alias("op"),
-        (F.col("event_id") + 1).alias("seq"))
+        F.floor(F.col("event_id") / 3 + 1).alias("seq"), F.col("event_id").alias("pos"))
+
+
+def routed_text(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`routed_changes` as the JSON text of a change log, with fields that no rule names and numbers."""
+    c = routed_changes(spark, sf)
+    number = lambda n: F.col("data")[n].cast("bigint").alias(n)
+    return c.select(F.to_json(F.struct(
+        "database", "table", "type", F.col("ts").cast("bigint").alias("ts"), (F.col("ts").cast("bigint") % 1000).alias("xid"),
+        F.lit(0).alias("xoffset"), F.struct(number("id"), number("user_id"), F.col("data")["status"].alias("status"),
+                                            F.col("data")["note"].alias("note")).alias("data"))).alias("value"))
 
 
 def routed_changes(spark: SparkSession, sf: str) -> DataFrame:

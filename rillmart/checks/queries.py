@@ -51,11 +51,15 @@ def object_split(spark, sf):
 
 @query
 def log_topics(spark, sf):
-    """The whole log job, read back from the text it would write to each topic."""
+    """The whole log job: every message of every topic, read back to its leaves."""
     out = ingest.log_topics(feeds.log_text(spark, sf), order=["ts", "event_id"])
-    return out.groupBy(
-        "topic", payload.get_text("value", "$.common.is_new").alias("is_new"),
-        payload.get_text("value", "$.page.page_id").alias("page_id")).agg(F.count("*").alias("n"))
+    good = F.col("topic") != routing.DIRTY_TOPIC
+    paths = [*(f"common.{n}" for n in ("mid", "uid", "vc", "ch", "ar", "is_new", "os")),
+             *(f"page.{n}" for n in ("page_id", "last_page_id", "item", "item_type", "during_time", "source_type")),
+             "start", "err", "display", "action", "ts", "extra"]
+    leaves = [F.when(good, payload.get_text("value", f"$.{p}")).alias(p.replace(".", "_")) for p in paths]
+    keys = F.concat_ws(",", F.array_sort(F.json_object_keys("value")))
+    return out.select("topic", F.when(good, keys).alias("keys"), *leaves)
 
 
 @query
@@ -160,9 +164,13 @@ def rule_precedence(spark, sf):
 
 @query
 def rule_route_facts(spark, sf):
-    out = ingest.routed_facts(feeds.routed_changes(spark, sf), feeds.rules(spark, sf), None)
-    return out.select("sink_table", "table", "type",
-                      *parse.fields("id", "user_id", "status", "note"), "ts")
+    """Raw changes to the text of their topics, read back to its leaves."""
+    out = ingest.routed_fact_lines(feeds.routed_text(spark, sf), feeds.rules(spark, sf), None)
+    leaf = lambda path, name: payload.get_text("value", f"$.{path}").alias(name)
+    return out.select(
+        "sink_table", F.concat_ws(",", F.array_sort(F.json_object_keys("value"))).alias("keys"),
+        F.get_json_object("value", "$.data").alias("data"),
+        *(leaf(n, n) for n in ("database", "table", "type", "ts", "xid", "xoffset")), leaf("sink_table", "said_sink"))
 
 
 @query
@@ -279,7 +287,11 @@ def snowflake_enrich(spark, sf):
 # --- detail tables ---------------------------------------------------------
 
 def _wide(f, spark, sf, **kw):
-    return f(feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf), **kw).drop("t")
+    return _timed(f(feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf), **kw))
+
+
+def _timed(df: DataFrame) -> DataFrame:
+    return df.withColumn("t", clock.second_text("t"))
 
 
 @query
@@ -292,6 +304,12 @@ def order_detail_wide(spark, sf):
     return _wide(detail.order_detail, spark, sf)
 
 
+@query
+def order_detail_bounded(spark, sf):
+    """As a stream joins: partners more than five seconds apart do not meet."""
+    return _wide(detail.order_detail, spark, sf, ttl_s=detail.ORDER_TTL_S)
+
+
 @query
 def order_cancel_wide(spark, sf):
     return _wide(detail.cancel_detail, spark, sf)
@@ -307,21 +325,27 @@ def refund_pay_wide(spark, sf):
     return _wide(detail.refund_pay, spark, sf)
 
 
-def _paid(spark, sf):
+@query
+def refund_pay_strict(spark, sf):
+    """Only updates that set each status to its final code."""
+    return _wide(detail.refund_pay, spark, sf, strict=True)
+
+
+def _paid(spark, sf, strict=False):
     cdc, dic = feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf)
-    return detail.pay_detail(detail.order_detail(cdc, dic), cdc, dic)
+    return detail.pay_detail(detail.order_detail(cdc, dic), cdc, dic, strict,
+                             tie=["sku_id", "source_id", "split_payment_amount", "sku_num"])
 
 
 @query
 def pay_detail_strict(spark, sf):
-    """Only updates to the successful status; the feed has no others, so both agree."""
-    cdc, dic = feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf)
-    return detail.pay_detail(detail.order_detail(cdc, dic), cdc, dic, strict=True).drop("t")
+    """Only updates to the successful status: no inserts and no failed payments."""
+    return _timed(_paid(spark, sf, strict=True))
 
 
 @query
 def pay_detail_wide(spark, sf):
-    return _paid(spark, sf).drop("t")
+    return _timed(_paid(spark, sf))
 
 
 @query
@@ -332,6 +356,16 @@ def order_detail_upsert(spark, sf):
 
 # --- words -----------------------------------------------------------------
 
+@query
+def keyword_tokens_listed(spark, sf):
+    """Titles in Han characters, a letter each, cut by a word list out of the nations' names."""
+    han = lambda c: F.translate(F.lower(c), feeds.LETTERS, feeds.HAN)
+    names = feeds.table(spark, sf, "nation").select(F.explode(F.array(*[
+        han(F.substring("n_name", at, size)) for at in (1, 2, 3) for size in (2, 3)])).alias("word"))
+    titles = feeds.table(spark, sf, "part").select("p_partkey", han(F.col("p_name")).alias("title"))
+    return words.words_of(titles, "title", dictionary=names).select("p_partkey", "word")
+
+
 @query
 def keyword_tokens(spark, sf):
     docs = feeds.table(spark, sf, "documents").select("lang", "text")
@@ -453,7 +487,7 @@ def _disordered(spark, sf):
 
 @query
 def watermark_late_drop(spark, sf):
-    return windows.mark_late(_disordered(spark, sf), block=20).where("late").select(
+    return windows.mark_late(_disordered(spark, sf)).where("late").select(
         "arrival", clock.second_text("t").alias("event_time"))
 
 
@@ -465,7 +499,7 @@ def watermark_lateness(spark, sf):
 
 # --- one key with a third of all rows -----------------------------------------
 
-CROWD = dict(hot_rows=300, hot_keys=8)
+CROWD = dict(hot_rows=300)
 
 
 @query

@@ -89,7 +89,7 @@ moves AS (
 OFFERS = """
 keys AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem),
 act AS (SELECT k || '-' || n AS line, CAST(k % 5 AS VARCHAR) AS activity_id,
-          CAST(n % 4 AS VARCHAR) AS activity_rule_id FROM keys WHERE (k + n) % 3 = 0),
+          CAST(n % 4 AS VARCHAR) AS activity_rule_id, CASE WHEN n = 2 THEN 9 ELSE 1 END AS apart FROM keys WHERE (k + n) % 3 = 0),
 cou AS (SELECT k || '-' || n AS line, CAST(k % 9 AS VARCHAR) AS coupon_id FROM keys
         WHERE (k + n) % 4 = 0)"""
 WIDE = f"""{LINES}, {ORDERS}, {OFFERS}, {DIC},
@@ -98,22 +98,26 @@ wide AS (
     a.activity_rule_id, c.coupon_id, substr(l.create_time, 1, 10) AS date_id, l.create_time,
     l.source_id, l.source_type, d.name AS source_type_name, l.sku_num, l.split_original_amount,
     l.split_activity_amount, l.split_coupon_amount, l.split_total_amount,
-    CAST(l.s AS VARCHAR) AS ts, l.s
+    CAST(l.s AS VARCHAR) AS ts, {text_at('l.s')} AS t, l.s
   FROM lines l JOIN dic d ON l.source_type = d.code
-  JOIN moves o ON l.order_id = o.id AND abs(l.s - o.s) <= 5
-  LEFT JOIN act a ON l.id = a.line LEFT JOIN cou c ON l.id = c.line)"""
-PAID = f"""{WIDE},
-pays AS (SELECT id AS order_id, {code('o_custkey')} AS payment_type, s + o_orderkey % 1000 AS p
-         FROM moves WHERE o_orderstatus <> 'F'),
+  JOIN moves o ON l.order_id = o.id {{near}}
+  LEFT JOIN act a ON l.id = a.line {{act_near}} LEFT JOIN cou c ON l.id = c.line)"""
+PAID = f"""{WIDE.format(near="", act_near="")},
+pays AS (SELECT id AS order_id, {code('o_custkey')} AS payment_type, s + o_orderkey % 1000 + later AS p, good
+         FROM (SELECT * EXCLUDE (later, status) FROM moves WHERE o_orderstatus <> 'F') m
+         JOIN (VALUES (1, 0, true), (3, -2, false), (5, 1, false), (4, 4, true)) v(every, later, good)
+           ON o_orderkey % every = 0),
 paid AS (
   SELECT w.id AS order_detail_id, w.order_id, w.user_id, w.sku_id, w.sku_name, w.province_id,
     w.activity_id, w.activity_rule_id, w.coupon_id, p.payment_type AS payment_type_code,
     d.name AS payment_type_name, {text_at('p.p')} AS callback_time, w.source_id,
     w.source_type AS source_type_code, w.source_type_name, w.sku_num, w.split_original_amount,
     w.split_activity_amount, w.split_coupon_amount, w.split_total_amount AS split_payment_amount,
-    CAST(p.p AS VARCHAR) AS ts, p.p
-  FROM wide w JOIN pays p ON w.order_id = p.order_id AND w.s BETWEEN p.p - 900 AND p.p + 5
-  JOIN dic d ON p.payment_type = d.code)"""
+    CAST(p.p AS VARCHAR) AS ts, {text_at('p.p')} AS t
+  FROM wide w JOIN pays p ON w.order_id = p.order_id AND w.s BETWEEN p.p - 900 AND p.p + 5 {{good}}
+  JOIN dic d ON p.payment_type = d.code
+  QUALIFY row_number() OVER (PARTITION BY w.id
+    ORDER BY p.p DESC, w.sku_id DESC, w.source_id DESC, w.split_total_amount DESC, w.sku_num DESC) = 1)"""
 ASKED_S = f"({LINE_S} + 18)"
 REFUNDS = f"""{DIC}, {ORDERS},
 asked AS (
@@ -123,16 +127,22 @@ asked AS (
     {code('l_partkey')} AS reason_code, {code('l_suppkey')} AS pay_code,
     'reason ' || l_suppkey AS refund_reason_txt, l_linestatus,
     CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS refund_num,
-    {money('l_extendedprice')} AS refund_amount, {ASKED_S} AS s
+    {money('l_extendedprice')} AS refund_amount, l_partkey AS part, l_suppkey AS supp, {ASKED_S} AS s
   FROM lineitem WHERE l_returnflag = 'R'),
 refunds AS (
   SELECT r.id, r.user_id, r.order_id, r.sku_id, o.province_id, substr(r.create_time, 1, 10) AS date_id,
     r.create_time, r.type_code AS refund_type_code, a.name AS refund_type_name,
     r.reason_code AS refund_reason_type_code, b.name AS refund_reason_type_name,
-    r.refund_reason_txt, r.refund_num, r.refund_amount, CAST(r.s AS VARCHAR) AS ts, r.s
+    r.refund_reason_txt, r.refund_num, r.refund_amount, CAST(r.s AS VARCHAR) AS ts, {text_at('r.s')} AS t, r.s
   FROM asked r JOIN moves o ON r.order_id = o.id AND o.status = '1005' AND o.o_orderkey % 3 <> 0
-    AND abs(r.s - o.later) <= 5
   JOIN dic a ON r.type_code = a.code JOIN dic b ON r.reason_code = b.code)"""
+REFUND_PAY = f"""
+requests AS (SELECT *, false AS done FROM asked UNION ALL SELECT *, true FROM asked WHERE part % 2 = 0),
+pays AS (SELECT *, supp % 3 = 0 AS moved FROM asked)
+SELECT p.id, o.user_id, p.order_id, p.sku_id, o.province_id, p.pay_code AS payment_type_code,
+  d.name AS payment_type_name, substr({text_at('p.s + 2')}, 1, 10) AS date_id,
+  {text_at('p.s + 2')} AS callback_time, a.refund_num, p.refund_amount, CAST(p.s + 2 AS VARCHAR) AS ts,
+  {text_at('p.s + 2')} AS t"""
 CARTS = f"""{DIC},
 carts AS (
   SELECT l_orderkey || '-' || l_linenumber AS id, CAST(l_orderkey % 997 AS VARCHAR) AS user_id,
@@ -184,19 +194,19 @@ changes AS (
     CAST(1704067200 + o_orderkey * 7 AS VARCHAR) AS ts, o_orderkey FROM orders)"""
 FEED = f"""{VISITS},
 feed AS (
-  SELECT CAST(event_id + 1 AS BIGINT) AS seq, CAST(mid AS BIGINT) AS n, event_type,
+  SELECT CAST(event_id // 3 + 1 AS BIGINT) AS seq, event_id AS pos, CAST(mid AS BIGINT) AS n, event_type,
     CASE WHEN k % 2 = 0 THEN 'insert' ELSE 'update' END AS typ, 'k' || event_id AS sink,
     CASE WHEN CAST(mid AS BIGINT) % 5 = 0 THEN 'dim' ELSE 'dwd' END AS kind FROM visits),
 steps AS (
-  SELECT seq, 0 AS step, 's' || n AS st, typ, kind, NULL AS sink FROM feed
+  SELECT seq, pos, 0 AS step, 's' || n AS st, typ, kind, NULL AS sink FROM feed
     WHERE event_type IN ('error', 'signup')
   UNION ALL
-  SELECT seq, 1, 's' || CASE WHEN event_type = 'signup' THEN n + 5 ELSE n END, typ, kind, sink
+  SELECT seq, pos, 1, 's' || CASE WHEN event_type = 'signup' THEN n + 5 ELSE n END, typ, kind, sink
     FROM feed WHERE event_type <> 'error')"""
 
 
 def fold(kind: str, keys: str, src: str = "steps") -> str:
-    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC, step DESC) AS rn
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC, pos DESC, step DESC) AS rn
   FROM {src} WHERE kind = '{kind}')
 SELECT st AS source_table, typ AS source_type, sink AS sink_table, {{cols}} AS sink_columns
 FROM ranked WHERE rn = 1 AND sink IS NOT NULL"""
@@ -240,18 +250,44 @@ routes AS (
   UNION ALL SELECT 'display', is_new, page_id, n_displays FROM {src} WHERE NOT has_start AND n_displays > 0
   UNION ALL SELECT 'action', is_new, page_id, n_actions FROM {src} WHERE NOT has_start AND n_actions > 0)"""
 
+HAN = "translate(lower({c}), 'abcdefghijklmnopqrstuvwxyz', '" + "".join(map(chr, range(0x4E00, 0x4E1A))) + "')"
 TOKENS = r"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')"
 
 SQL: dict[str, str] = {
-    "log_dirty_split": """SELECT CASE WHEN event_id % 10 = 3 THEN 'dirty' ELSE 'good' END AS route,
+    "log_dirty_split": """SELECT CASE WHEN event_id % 10 IN (3, 6, 7) THEN 'dirty' ELSE 'good' END AS route,
         count(*) AS n FROM events GROUP BY 1""",
-    "object_split": """SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'other' ELSE 'object' END AS route
+    "object_split": """SELECT event_id, CASE WHEN event_id % 10 IN (3, 6, 7) THEN 'other' ELSE 'object' END AS route
         FROM events""",
-    "log_topics": f"""WITH {VISITS}, good AS (SELECT * FROM visits WHERE event_id % 10 <> 3),
-        {REPAIRED.format(src='good')}, {ROUTES.format(src='repaired')}
-        SELECT CASE route WHEN 'dirty' THEN 'dirty_data' ELSE 'dwd_traffic_' || route || '_log' END AS topic,
-          is_new, page_id, CAST(sum(n) AS BIGINT) AS n FROM routes GROUP BY ALL
-        UNION ALL SELECT 'dirty_data', NULL, NULL, count(*) FROM events WHERE event_id % 10 = 3""",
+    "log_topics": f"""WITH {VISITS}, good AS (SELECT * FROM visits WHERE event_id % 10 NOT IN (3, 6, 7)),
+        {REPAIRED.format(src='good')},
+        said AS (SELECT mid, uid, vc, ch, ar, is_new, 'os ' || (event_id % 4) AS os, page_id, last_page_id, item, item_type,
+          CAST(during AS VARCHAR) AS during_time, CAST(event_id % 9 AS VARCHAR) AS source_type,
+          CASE WHEN has_start THEN '{{"entry":"icon"}}' END AS start, CASE WHEN has_err THEN '{{"error_code":1}}' END AS err,
+          n_displays, n_actions, CAST(ts AS VARCHAR) AS ts, '{{"n":' || (event_id % 100) || ',"list":["a","b"]}}' AS extra
+          FROM repaired),
+        lines AS (
+          SELECT 'error' AS topic, NULL AS display, NULL AS action, * FROM said WHERE err IS NOT NULL
+          UNION ALL SELECT 'start', NULL, NULL, * REPLACE (NULL AS err) FROM said WHERE start IS NOT NULL
+          UNION ALL SELECT 'page', NULL, NULL, * REPLACE (NULL AS err) FROM said WHERE start IS NULL
+          UNION ALL SELECT 'display', '{{"order":' || unnest(generate_series(1, n_displays)) || '}}', NULL,
+            * REPLACE (NULL AS err, NULL AS extra) FROM said WHERE start IS NULL
+          UNION ALL SELECT 'action', NULL, '{{"action_id":' || unnest(generate_series(1, n_actions)) || '}}',
+            * REPLACE (NULL AS err, NULL AS extra, NULL AS ts) FROM said WHERE start IS NULL)
+        SELECT 'dwd_traffic_' || topic || '_log' AS topic, list_aggregate(list_sort([x FOR x IN [
+            CASE WHEN action IS NOT NULL OR (topic IN ('error', 'start') AND n_actions > 0)
+              THEN CASE WHEN action IS NULL THEN 'actions' ELSE 'action' END END,
+            CASE WHEN display IS NOT NULL OR (topic IN ('error', 'start') AND n_displays > 0)
+              THEN CASE WHEN display IS NULL THEN 'displays' ELSE 'display' END END,
+            'common', 'page', CASE WHEN err IS NOT NULL THEN 'err' END, CASE WHEN start IS NOT NULL THEN 'start' END,
+            CASE WHEN ts IS NOT NULL THEN 'ts' END, CASE WHEN extra IS NOT NULL THEN 'extra' END] IF x IS NOT NULL]),
+            'string_agg', ',') AS keys,
+          mid AS common_mid, uid AS common_uid, vc AS common_vc, ch AS common_ch, ar AS common_ar, is_new AS common_is_new,
+          os AS common_os, page_id AS page_page_id, last_page_id AS page_last_page_id, item AS page_item,
+          item_type AS page_item_type, during_time AS page_during_time, source_type AS page_source_type,
+          start, err, display, action, ts, CASE WHEN extra IS NOT NULL THEN '{{"list":["a","b"],"n":' || regexp_extract(extra, '[0-9]+') || '}}' END AS extra
+        FROM lines
+        UNION ALL SELECT 'dirty_data', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+          NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 IN (3, 6, 7)""",
     "log_split_routes": f"""WITH {VISITS}, {ROUTES.format(src='visits')}
         SELECT route, page_id, CAST(sum(n) AS BIGINT) AS n FROM routes GROUP BY ALL""",
     "log_display_explode": f"""WITH {VISITS}
@@ -276,20 +312,22 @@ SQL: dict[str, str] = {
         CAST(later AS VARCHAR) AS ts FROM moves WHERE status = '1003' AND o_orderkey % 3 <> 0""",
     "cart_delta": f"WITH {CARTS} SELECT id, sku_id, sku_num FROM grown",
     "cart_add_detail": f"""WITH {CARTS} SELECT id, user_id, sku_id, source_id, source_type AS source_type_code,
-        d.name AS source_type_name, sku_num, CAST(s AS VARCHAR) AS ts
+        d.name AS source_type_name, sku_num, CAST(s AS VARCHAR) AS ts, {text_at('s')} AS t
         FROM grown JOIN dic d ON source_type = d.code""",
     "line_amount": """SELECT l_orderkey, l_linenumber, CAST(CAST(CAST(l_quantity AS DECIMAL(16,2))
         * CAST(l_extendedprice AS DECIMAL(16,2)) AS DECIMAL(33,4)) AS VARCHAR) AS amount FROM lineitem""",
     "rule_fold_facts": f"WITH {FEED}, " + fold("dwd", "st, typ").format(cols="'id,name'"),
     "rule_fold_dims": f"WITH {FEED}, " + fold("dim", "st").format(cols="'id,name'"),
     "rule_precedence": f"""WITH {FEED}, {RULES},
-        both_steps AS (SELECT seq, step, st, typ, kind, sink, 'id,name' AS cols FROM steps
-          UNION ALL SELECT 0, 1, 's' || substr(source_table, 2), source_type, 'dwd', sink_table, sink_columns
+        both_steps AS (SELECT seq, pos, step, st, typ, kind, sink, 'id,name' AS cols FROM steps
+          UNION ALL SELECT 0, 0, 1, 's' || substr(source_table, 2), source_type, 'dwd', sink_table, sink_columns
           FROM fact_rules), """ + fold("dwd", "st, typ", "both_steps").format(cols="cols"),
     "rule_route_facts": f"""WITH {RULES}
-        SELECT r.sink_table, c.tab AS "table", c.type, c.id,
-          CASE WHEN n_nationkey % 2 = 0 THEN c.user_id END AS user_id,
-          CASE WHEN n_nationkey % 2 = 1 THEN c.status END AS status, CAST(NULL AS VARCHAR) AS note, c.ts
+        SELECT r.sink_table, 'data,database,sink_table,table,ts,type,xid,xoffset' AS keys,
+          CASE WHEN n_nationkey % 2 = 0 THEN '{{"id":' || c.id || ',"user_id":' || c.user_id || '}}'
+            ELSE '{{"id":' || c.id || ',"status":"' || c.status || '"}}' END AS data,
+          'shop' AS database, c.tab AS "table", c.type, c.ts, CAST(CAST(c.ts AS BIGINT) % 1000 AS VARCHAR) AS xid,
+          '0' AS xoffset, r.sink_table AS said_sink
         FROM changes c JOIN fact_rules r ON c.tab = r.source_table AND c.type = r.source_type""",
     "rule_route_dims": f"""WITH {RULES}
         SELECT 'dim_' || lower(n_name) AS sink_table, CASE WHEN n_nationkey > 2 THEN 'user_id' ELSE 'id' END
@@ -310,9 +348,10 @@ SQL: dict[str, str] = {
     "within_ttl_join": f"""WITH {LINES}, {ORDERS} SELECT l.id, l.order_id, o.user_id, CAST(l.s AS VARCHAR) AS ts
         FROM lines l JOIN moves o ON l.order_id = o.id AND abs(l.s - o.s) <= 5""",
     "left_ttl_join": f"""WITH {LINES}, {OFFERS} SELECT id, activity_id, CAST(s AS VARCHAR) AS ts
-        FROM lines LEFT JOIN act ON id = line""",
+        FROM lines LEFT JOIN act ON id = line AND apart <= 5""",
     "two_key_join": f"""WITH {REFUNDS} SELECT p.id, p.order_id, p.sku_id, p.refund_amount AS total_amount,
-        a.refund_num FROM asked p JOIN asked a ON p.order_id = a.order_id AND p.sku_id = a.sku_id""",
+        a.refund_num FROM asked p JOIN (SELECT * FROM asked UNION ALL SELECT * FROM asked WHERE part % 2 = 0) a
+        ON p.order_id = a.order_id AND p.sku_id = a.sku_id""",
     "interval_join": f"""WITH {VISITS} SELECT c.event_id, p.event_id AS purchase_id, c.mid
         FROM visits c JOIN visits p ON c.mid = p.mid AND c.event_type = 'click' AND p.event_type = 'purchase'
         AND c.t >= p.t - INTERVAL '15 hours' AND c.t <= p.t + INTERVAL '5 minutes'""",
@@ -330,24 +369,25 @@ SQL: dict[str, str] = {
         SELECT line AS id, sku_id, sku_name, spu_id, trademark_id, category3_id, spu_name, trademark_name,
           category3_name, category2_id, category2_name, category1_id, category1_name
         FROM li LEFT JOIN sku ON sku_id = sku.id LEFT JOIN spu ON spu_id = spu.id {CHAIN}""",
-    "order_detail_wide": f"WITH {WIDE} SELECT * EXCLUDE (s) FROM wide",
+    "order_detail_wide": f"WITH {WIDE.format(near='', act_near='')} SELECT * EXCLUDE (s) FROM wide",
+    "order_detail_bounded": f"""WITH {WIDE.format(near='AND abs(l.s - o.s) <= 5', act_near='AND a.apart <= 5')}
+        SELECT * EXCLUDE (s) FROM wide""",
     "order_cancel_wide": f"""WITH {LINES}, {ORDERS}, {OFFERS}, {DIC}
         SELECT l.id, l.order_id, o.user_id, l.sku_id, l.sku_name, o.province_id, activity_id, activity_rule_id,
           coupon_id, substr({text_at('later')}, 1, 10) AS date_id, {text_at('later')} AS cancel_time, l.source_id,
           l.source_type AS source_type_code, d.name AS source_type_name, l.sku_num, l.split_original_amount,
-          l.split_activity_amount, l.split_coupon_amount, l.split_total_amount, CAST(later AS VARCHAR) AS ts
+          l.split_activity_amount, l.split_coupon_amount, l.split_total_amount, CAST(later AS VARCHAR) AS ts, {text_at('later')} AS t
         FROM lines l JOIN moves o ON l.order_id = o.id AND status = '1003' AND o_orderkey % 3 <> 0
-          AND abs(later - l.s) <= 905
         JOIN dic d ON l.source_type = d.code LEFT JOIN act a ON l.id = a.line LEFT JOIN cou c ON l.id = c.line""",
     "order_refund_wide": f"WITH {REFUNDS} SELECT * EXCLUDE (s) FROM refunds",
-    "refund_pay_wide": f"""WITH {REFUNDS}
-        SELECT p.id, o.user_id, p.order_id, p.sku_id, o.province_id, p.pay_code AS payment_type_code,
-          d.name AS payment_type_name, substr({text_at('p.s + 2')}, 1, 10) AS date_id,
-          {text_at('p.s + 2')} AS callback_time, a.refund_num, p.refund_amount, CAST(p.s + 2 AS VARCHAR) AS ts
-        FROM asked p JOIN asked a ON p.order_id = a.order_id AND p.sku_id = a.sku_id AND abs(p.s + 2 - a.s) <= 5
-        JOIN moves o ON p.order_id = o.id AND abs(p.s + 2 - o.later) <= 5
+    "refund_pay_wide": f"""WITH {REFUNDS}, {REFUND_PAY}
+        FROM requests a JOIN pays p ON p.order_id = a.order_id AND p.sku_id = a.sku_id
+        JOIN moves o ON p.order_id = o.id JOIN dic d ON p.pay_code = d.code WHERE p.l_linestatus = 'F'""",
+    "refund_pay_strict": f"""WITH {REFUNDS}, {REFUND_PAY}
+        FROM requests a JOIN pays p ON p.order_id = a.order_id AND p.sku_id = a.sku_id AND a.done AND p.moved
+        JOIN moves o ON p.order_id = o.id AND o.status = '1006' AND o.o_orderkey % 3 <> 0
         JOIN dic d ON p.pay_code = d.code WHERE p.l_linestatus = 'F'""",
-    "pay_detail_wide": f"WITH {PAID} SELECT * EXCLUDE (p) FROM paid",
+    "pay_detail_wide": f"WITH {PAID.format(good='')} SELECT * FROM paid",
     "order_detail_upsert": f"""WITH {VERSIONS}, ranked AS (SELECT *, row_number() OVER
         (PARTITION BY id ORDER BY ts DESC, seq DESC) AS rn FROM versions)
         SELECT id, order_id, sku_id, province_id, user_id, CAST(original AS VARCHAR) AS split_original_amount,
@@ -355,6 +395,19 @@ SQL: dict[str, str] = {
           CAST(total AS VARCHAR) AS split_total_amount, ts FROM ranked WHERE rn = 1""",
     "keyword_tokens": f"""WITH w AS (SELECT lang, unnest({TOKENS.format(text='text')}) AS word FROM documents)
         SELECT lang, word, count(*) AS n FROM w GROUP BY ALL""",
+    "keyword_tokens_listed": f"""WITH RECURSIVE listed AS (
+          SELECT DISTINCT {HAN.format(c='substr(n_name, a, n)')} AS w FROM nation, (VALUES (1), (2), (3)) AS p(a), (VALUES (2), (3)) AS q(n)),
+        runs AS (SELECT p_partkey, k, unnest(regexp_extract_all({HAN.format(c='p_name')}, '[\\x{{4E00}}-\\x{{4E19}}]+')) AS run
+          FROM (SELECT p_partkey, p_name, row_number() OVER () AS k FROM part)),
+        found AS (SELECT run, pos, max(len(w)) AS size
+          FROM (SELECT DISTINCT run FROM runs), generate_series(1, 40) AS g(pos), listed
+          WHERE pos <= len(run) AND substr(run, pos, len(w)) = w AND len(w) > 1 GROUP BY run, pos),
+        cut AS (
+          SELECT run, CAST(1 AS BIGINT) AS pos, CAST(NULL AS VARCHAR) AS word FROM (SELECT DISTINCT run FROM runs)
+          UNION ALL
+          SELECT c.run, c.pos + coalesce(f.size, 1), substr(c.run, c.pos, coalesce(f.size, 1))
+          FROM cut c LEFT JOIN found f ON c.run = f.run AND c.pos = f.pos WHERE c.pos <= len(c.run))
+        SELECT p_partkey, word FROM runs JOIN cut USING (run) WHERE word IS NOT NULL""",
     "keyword_tokens_name": f"SELECT p_partkey, unnest({TOKENS.format(text='p_name')}) AS word FROM part",
     "keyword_window": f"""WITH {VISITS}, w AS (SELECT t, unnest({TOKENS.format(text='item')}) AS keyword
         FROM visits WHERE item IS NOT NULL AND last_page_id = 'search' AND item_type = 'keyword')
@@ -367,11 +420,11 @@ SQL: dict[str, str] = {
         seen AS (SELECT t, lag(CAST(t AS DATE)) OVER (PARTITION BY user_id ORDER BY t) AS before FROM added)
         SELECT {bucket('10 seconds')}, count(*) AS cart_add_uu_ct FROM seen
         WHERE before IS NULL OR before <> CAST(t AS DATE) GROUP BY ALL""",
-    "order_user_window": f"WITH {WIDE}, placed AS (SELECT user_id, {at('s')} AS t FROM wide), " + user_days(
+    "order_user_window": f"WITH {WIDE.format(near='', act_near='')}, placed AS (SELECT user_id, {at('s')} AS t FROM wide), " + user_days(
         "placed", "user_id", "order_unique_user_count", "order_new_user_count", "10 seconds"),
     "purchase_user_window": f"WITH {VISITS}, bought AS (SELECT * FROM visits WHERE event_type = 'purchase'), "
         + user_days("bought", "mid", "payment_suc_unique_user_count", "payment_suc_new_user_count", "1 hour"),
-    "payment_user_window": f"WITH {PAID}, done AS (SELECT user_id, {at('p')} AS t FROM paid), " + user_days(
+    "payment_user_window": f"WITH {PAID.format(good='')}, done AS (SELECT user_id, {at('CAST(ts AS BIGINT)')} AS t FROM paid), " + user_days(
         "done", "user_id", "payment_suc_unique_user_count", "payment_suc_new_user_count", "10 seconds"),
     "page_uv_window": f"""WITH {VISITS}, seen AS (SELECT page_id, t, lag(CAST(t AS DATE)) OVER
           (PARTITION BY mid, page_id ORDER BY t) AS before FROM visits WHERE page_id IN ('home', 'good_detail'))
@@ -457,7 +510,7 @@ SQL: dict[str, str] = {
         + user_days("bought", "mid", "payment_suc_unique_user_count", "payment_suc_new_user_count", "1 hour"),
     "keyword_table_function": f"""WITH w AS (SELECT p_partkey, unnest({TOKENS.format(text='p_name')}) AS word FROM part)
         SELECT p_partkey, word, count(*) AS n FROM w GROUP BY ALL""",
-    "pay_detail_strict": f"WITH {PAID} SELECT * EXCLUDE (p) FROM paid",
+    "pay_detail_strict": f"WITH {PAID.format(good='AND p.good')} SELECT * FROM paid",
     "scalar_dates": f"""SELECT event_id, epoch_ms(date_trunc('second', ts)) AS full_ms,
         epoch_ms(date_trunc('day', ts)) AS day_ms, strftime(ts, '%Y-%m-%d') AS day,
         strftime(ts, {SECOND}) AS second, strftime(ts, '%Y-%m-%d') AS day_of_text,

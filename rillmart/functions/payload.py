@@ -6,10 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+VARIANTS = "map<string,variant>"
+
+
+def record(text: Column | str) -> Column:
+    """The entries of text that is one JSON object and nothing else, else null; no field or type is lost.
+
+    The parser stops at the end of the first value. So the text is parsed as a member of an
+    object with a last member named by a hash of the text: anything that ends the text's object too
+    early or adds to it loses that member or adds others.
+    """
+    c = _col(text)
+    last = F.concat(F.lit("#"), F.xxhash64(c))
+    framed = F.try_parse_json(F.concat(F.lit('{"r":'), c, F.lit(',"'), last, F.lit('":0}'))).try_cast(VARIANTS)
+    whole = (F.size(framed) == 2) & F.map_contains_key(framed, last)
+    return F.when(whole & c.rlike(r"^[ \t\r\n]*\{"), framed["r"].try_cast(VARIANTS))
+
+
 def is_object(text: Column | str) -> Column:
-    """True when the text parses as one JSON object; never null."""
-    parsed = F.try_parse_json(_col(text))
-    return F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    """True when the text is one JSON object; never null."""
+    return record(text).isNotNull()
+
+
+def leaf(value: Column, path: str, kind: str = "string") -> Column:
+    """What a path leads to in a variant, null if there is none of that kind."""
+    return F.try_variant_get(value, path, kind)
 
 
 def get_text(text: Column | str, path: str) -> Column:
@@ -39,10 +60,5 @@ def text_of(record: Column | str) -> Column:
     return F.to_json(_col(record))
 
 
-def row_text(*columns: str) -> Column:
-    """The whole row (or the given columns) as one JSON object."""
-    return F.to_json(F.struct(*(columns or ("*",))))
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

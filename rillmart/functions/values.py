@@ -26,11 +26,6 @@ def product_text(count: Column | str, price: Column | str) -> Column:
     return (amount(count) * amount(price)).cast("decimal(33,4)").cast("string")
 
 
-def field(name: str, of: str = "data") -> Column:
-    """One key of a map column."""
-    return F.col(of)[name]
-
-
 def listed_only(data: Column | str, names_csv: Column | str) -> Column:
     """Keep the map entries whose key is in a comma separated list."""
     names = F.split(_col(names_csv), r"\s*,\s*")
@@ -46,10 +41,6 @@ def upper_keys(data: Column | str) -> Column:
     return F.transform_keys(_col(data), lambda k, v: F.upper(k))
 
 
-def set_of_one(c: Column | str) -> Column:
-    return F.array(_col(c))
-
-
 def set_size(c: Column | str) -> Column:
     """Distinct members of an array column; null members do not count."""
     return F.size(F.array_distinct(F.array_compact(_col(c))))

@@ -1,25 +1,21 @@
 """Search words out of free text.
 
-Latin and digit runs are cut by a regular expression inside the JVM. Runs of
-Han characters need a word list; they are cut by forward maximum matching in an
-Arrow batch, with single characters where no listed word fits.
+Latin and digit runs are cut by a regular expression. Runs of Han characters need a word list;
+they are cut by forward maximum matching, with single characters where no listed word fits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # What counts as a word without a word list, and as a Han run.
 PLAIN_WORD = r"([\p{L}\p{N}&&[^\p{IsHan}]]+)"
 HAN_RUN = r"(\p{IsHan}+)"
 
-MAX_WORDS = 2_000_000
-
 
 def plain_words(text: Column | str) -> Column:
     """Lower-case Latin/digit words of a text, in order, with repeats."""
@@ -40,40 +36,66 @@ def _cut(run: str, words: frozenset[str], longest: int) -> list[str]:
     return out
 
 
-def han_cutter(spark: SparkSession, words: Iterable[str]):
-    """Column function cutting arrays of Han runs by a user's word list.
-
-    The list goes to every executor once, as a broadcast variable; it is
-    checked against ``MAX_WORDS`` first.
-    """
+def han_cutter(words: Iterable[str]):
+    """Column function cutting arrays of Han runs by a list that the driver holds; for streams."""
     listed = frozenset(w for w in words if w)
-    if len(listed) > MAX_WORDS:
-        raise ValueError(f"word list has {len(listed)} entries, at most {MAX_WORDS} can be shipped")
-    shared = spark.sparkContext.broadcast((listed, max(map(len, listed), default=1)))
+    longest = max(map(len, listed), default=1)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, longest = shared.value
-        for runs in batches:
-            yield runs.map(lambda rs: [w for r in rs for w in _cut(r, known, longest)])
+    @F.pandas_udf("array<string>")
+    def cut(runs: pd.Series) -> pd.Series:
+        return runs.map(lambda rs: [w for r in rs for w in _cut(r, listed, longest)])
 
     return cut
 
 
+def han_words(df: DataFrame, text: str, dictionary: DataFrame, out: str) -> DataFrame:
+    """One row per word of the Han runs of ``text``, cut by forward maximum matching.
+
+    ``dictionary`` has one column of words and may be of any size: the distinct runs are taken
+    apart into the substrings that could be words, a join with the dictionary leaves those
+    that are, and the longest at each place is kept. Where no word fits, a single character is one.
+    """
+    word = F.col(dictionary.columns[0])
+    listed = dictionary.select(word.alias("_word")).where(F.length("_word") > 1).distinct()
+    longest = listed.agg(F.max(F.length("_word"))).first()[0] or 1
+    rows = df.select("*", F.explode(han_runs(text)).alias("_run"))
+    runs = rows.select("_run").distinct()
+    tried = runs.select("*", F.explode(F.sequence(F.lit(1), F.length("_run"))).alias("_at")).select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("_size")).where(
+        (F.col("_size") > 1) & (F.col("_at") + F.col("_size") <= F.length("_run") + 1)).withColumn(
+        "_word", F.substring("_run", F.col("_at"), F.col("_size")))
+    best = tried.join(listed, "_word", "left_semi").groupBy("_run", "_at").agg(F.max("_size").alias("_size"))
+    sizes = best.groupBy("_run").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_size"))).alias("_sizes"))
+
+    def step(done: Column, at: Column) -> Column:
+        size = F.coalesce(F.try_element_at("_sizes", at), F.lit(1))
+        return F.when(at < done["next"], done).otherwise(F.struct(
+            (at + size).alias("next"), F.array_append(done["words"], F.substring(F.col("_run"), at, size)).alias("words")))
+
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("words"))
+    cut = runs.join(sizes, "_run", "left").select("_run", F.aggregate(
+        F.sequence(F.lit(1), F.length("_run")), start, step, lambda done: done["words"]).alias("_cut"))
+    return rows.join(cut, "_run").withColumn(out, F.explode("_cut")).drop("_run", "_cut")
+
+
 def words_of(df: DataFrame, text: str, out: str = "word",
-             dictionary: Iterable[str] | None = None) -> DataFrame:
+             dictionary: DataFrame | Iterable[str] | None = None) -> DataFrame:
     """One row per word; a row whose text has no word is dropped.
 
-    Rows without Han characters skip the Python step when a dictionary is given.
+    ``dictionary`` is a table of words for Han text, or a list of them; without it every Han
+    character is a word.
     """
     if dictionary is None:
         return df.withColumn(out, F.explode(F.concat(plain_words(text), _han_singles(text))))
-    cut = han_cutter(df.sparkSession, dictionary)
-    has_han = F.coalesce(F.col(text).rlike(HAN_RUN), F.lit(False))
-    plain = df.where(~has_han).withColumn(out, F.explode(plain_words(text)))
-    mixed = df.where(has_han).withColumn(
-        out, F.explode(F.concat(plain_words(text), cut(han_runs(text)))))
-    return plain.unionByName(mixed)
+    if df.isStreaming:     # a row at a time: nothing may be gathered over rows
+        if isinstance(dictionary, DataFrame):
+            raise ValueError("a stream needs the dictionary as a list")
+        cut = han_cutter(dictionary)
+        return df.withColumn(out, F.explode(F.concat(plain_words(text), cut(han_runs(text)))))
+    if not isinstance(dictionary, DataFrame):
+        dictionary = df.sparkSession.createDataFrame([(w,) for w in dictionary if w], "word string")
+    plain = df.withColumn(out, F.explode(plain_words(text)))
+    return plain.unionByName(han_words(df, text, dictionary, out))
 
 
 def register_words(spark: SparkSession, name: str = "split_words") -> None:

@@ -25,10 +25,12 @@ def bounded_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how:
     """Equi join with a bound on the distance of the two event times.
 
     ``on`` maps left to right columns. Right columns that also exist on the
-    left (and the right keys and time) are left out of the result. A stream needs
-    ``ttl_s``: it is what lets Spark forget old rows.
+    left (and the right keys and time) are left out of the result. Without ``ttl_s`` it is a plain join
+    that keeps every pair. A stream must give it: it is what lets Spark forget old rows.
     """
     if ttl_s is None:
+        if left.isStreaming or right.isStreaming:
+            raise ValueError("a join of streams needs ttl_s")
         tagged = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
         return _tidy(left, right, left.join(tagged, _equal(on), how))
     return _near_join(left, right, on, how, t_left, t_right, ttl_s, ttl_s)
@@ -41,9 +43,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str],
     return _near_join(left, right, on, "inner", t_left, t_right, before_s, after_s)
 
 
-# Buckets are this many times the join interval, so about one right row in
-# sixteen has to be looked up in two buckets.
-BUCKET_SPANS = 16
+# Buckets are this many times the join interval: a right row is looked up in one or two
+# buckets, and a key compares only rows of a bucket.
+BUCKET_SPANS = 2
 
 
 def _near_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str, t_left: str,

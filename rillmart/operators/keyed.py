@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clock
-from .skew import HOT_KEYS, HOT_ROWS, join_per_key, with_previous
+from .skew import HOT_ROWS, join_per_key, with_previous
 
 
 def repair_visitor_flag(df: DataFrame, mid: str = "mid", flag: str = "is_new",
                         order: Sequence[str] = ("ts",), t: str = "t",
-                        hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """Clear ``flag`` on rows that claim a new visitor on a day after the first one.
 
     The first day is the day of the first row if that row says new, else the day
@@ -33,17 +33,15 @@ def repair_visitor_flag(df: DataFrame, mid: str = "mid", flag: str = "is_new",
              F.count("*").alias("_n"))
         .select(mid, "_n", first_day.alias("_first_day"))
     )
-    joined = join_per_key(df, per_mid, mid, "_n", "_first_day", list(order), hot_keys, hot_rows)
+    joined = join_per_key(df, per_mid, mid, "_n", "_first_day", list(order), hot_rows)
     wrong = (F.col(flag) == "1") & (F.col("_first_day") != clock.day(t))
     return joined.withColumn(flag, F.when(wrong, F.lit("0")).otherwise(F.col(flag))).drop("_first_day")
 
 
 def repair_log(log: DataFrame, order: Sequence[str] = ("ts",), **hot: int) -> DataFrame:
-    """:func:`repair_visitor_flag` on a parsed log."""
-    flat = log.withColumn("_mid", F.col("common.mid")).withColumn("_flag", F.col("common.is_new"))
-    fixed = repair_visitor_flag(flat, "_mid", "_flag", order, **hot)
-    return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_flag"))).drop(
-        "_mid", "_flag")
+    """:func:`repair_visitor_flag` on the good records of a marked log; dirty ones keep no visitor."""
+    known = log.withColumn("mid", F.when(F.col("ok"), F.col("mid")))
+    return repair_visitor_flag(known, "mid", "is_new", order, **hot)
 
 
 def first_of_day(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("t",),
@@ -164,10 +162,10 @@ def count_once(df: DataFrame, key: str, order: Sequence[str], out: str,
 
 
 def mark_once(df: DataFrame, key: str, order: Sequence[str], out: str = "once",
-              hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows, with 1 on the first row of each key and 0 on the others."""
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n")).select(
         key, "_n", "_first")
-    joined = join_per_key(df, per_key, key, "_n", "_first", list(order), hot_keys, hot_rows)
+    joined = join_per_key(df, per_key, key, "_n", "_first", list(order), hot_rows)
     return joined.withColumn(out, (F.struct(*order) == F.col("_first")).cast("bigint")).drop("_first")

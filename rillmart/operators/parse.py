@@ -6,17 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock, values
-from ..functions.payload import is_object
-
-# Leaves are text: numbers keep their digits and a leaf of the wrong type does
-# not spoil the record. Bodies nobody looks into stay raw JSON text.
-LOG_SCHEMA = (
-    "common struct<mid string, uid string, vc string, ch string, ar string, is_new string>, "
-    "page struct<page_id string, last_page_id string, item string, item_type string, "
-    "during_time string>, "
-    "start string, err string, displays array<string>, actions array<string>, ts string, "
-    "_broken string"
-)
+from ..functions.payload import VARIANTS, is_object, leaf, record
+
+# Leaves read out of a log record are text: numbers keep their digits and a leaf of the
+# wrong type does not spoil the record. The record itself is kept whole.
+COMMON_LEAVES = ("mid", "uid", "vc", "ch", "ar", "is_new")
+PAGE_LEAVES = ("page_id", "last_page_id", "item", "item_type", "during_time")
 LOG_MAP_SCHEMA = "common map<string,string>, page map<string,string>, ts bigint"
 CDC_SCHEMA = (
     "database string, `table` string, type string, data map<string,string>, "
@@ -42,31 +37,38 @@ def split_objects(df: DataFrame, text: str = "value") -> tuple[DataFrame, DataFr
 
 
 def mark_log(df: DataFrame, text: str = "value") -> DataFrame:
-    """Parse log text once: the record's columns, event time ``t``, and ``ok``.
+    """Parse log text once: the whole record ``rec``, its ``mid, is_new, ts``, event time ``t``, and ``ok``.
 
     ``ok`` is false for text that is no JSON object or has no visitor or time.
     """
-    rec = F.from_json(text, LOG_SCHEMA, {"columnNameOfCorruptRecord": "_broken"})
-    parsed = once(df, rec, "_rec").withColumn("_trim", F.trim(text))
-    ok = (
-        F.col("_trim").startswith("{") & F.col("_trim").endswith("}")
-        & F.col("_rec._broken").isNull()
-        & F.col("_rec.common.mid").isNotNull()
-        & F.col("_rec.ts").try_cast("bigint").isNotNull()
-    )
-    return parsed.select(
-        *df.columns,
-        "_rec.common", "_rec.page", "_rec.start", "_rec.err", "_rec.displays", "_rec.actions",
-        F.col("_rec.ts").try_cast("bigint").alias("ts"),
-        clock.from_epoch_ms("_rec.ts").alias("t"),
-        F.coalesce(ok, F.lit(False)).alias("ok"),
-    )
+    parsed = once(df, record(text), "rec")
+    out = parsed.select(
+        *df.columns, "rec", leaf(F.col("rec")["common"], "$.mid").alias("mid"),
+        leaf(F.col("rec")["common"], "$.is_new").alias("is_new"),
+        leaf(F.col("rec")["ts"], "$", "bigint").alias("ts"))
+    ok = F.col("rec").isNotNull() & F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    return out.select("*", clock.from_epoch_ms("ts").alias("t"), ok.alias("ok"))
 
 
 def split_log(df: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
     """(parsed log records, dirty text)."""
     marked = mark_log(df, text)
-    return marked.where("ok").drop("ok", text), marked.where("not ok").select(text)
+    return typed_log(marked.where("ok")).drop("ok", text), marked.where("not ok").select(text)
+
+
+def typed_log(marked: DataFrame) -> DataFrame:
+    """The fields that readers of the log use as columns; bodies that nobody looks into as JSON text."""
+    rec = F.col("rec")
+
+    def bodies(name: str) -> Column:
+        return F.transform(rec[name].try_cast("array<variant>"), lambda x: F.to_json(x)).alias(name)
+
+    return marked.select(
+        *[c for c in marked.columns if c not in ("rec", "mid", "is_new", "ts", "t", "ok")],
+        *(F.struct(*(leaf(rec[part], f"$.{n}").alias(n) for n in names)).alias(part)
+          for part, names in (("common", COMMON_LEAVES), ("page", PAGE_LEAVES))),
+        F.to_json(rec["start"]).alias("start"), F.to_json(rec["err"]).alias("err"),
+        bodies("displays"), bodies("actions"), "ts", "t", "ok")
 
 
 def parse_log_maps(df: DataFrame, text: str = "value") -> DataFrame:
@@ -89,6 +91,14 @@ def with_cdc_times(df: DataFrame) -> DataFrame:
         "proc_time", F.current_timestamp())
 
 
+def mark_changes(df: DataFrame, text: str = "value") -> DataFrame:
+    """Whole change records ``rec`` with ``table, type``: valid ones only, see :func:`valid_changes`."""
+    parsed = once(df, record(text), "rec").select(
+        "rec", leaf(F.col("rec")["table"], "$").alias("table"), leaf(F.col("rec")["type"], "$").alias("type"))
+    has_data = F.col("rec")["data"].try_cast(VARIANTS).isNotNull()
+    return parsed.where(has_data & ~F.col("type").isin(*BOOTSTRAP_TYPES))
+
+
 def valid_changes(df: DataFrame) -> DataFrame:
     """Changes with a data object and a type that is not part of a bootstrap."""
     return df.where(F.col("data").isNotNull() & ~F.col("type").isin(*BOOTSTRAP_TYPES))

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import VARIANTS, leaf, put_entry
 from ..functions.values import listed_only
+from .parse import once
 
 RULE_SCHEMA = (
     "source_table string, source_type string, sink_table string, sink_type string, "
@@ -63,34 +65,35 @@ def split_routes(log: DataFrame) -> dict[str, DataFrame]:
 def fan_out(log: DataFrame, raw: str = "value") -> DataFrame:
     """``topic, value`` rows of the five routes and of dirty text, in one pass.
 
-    ``log`` is a marked log with its raw text. Bodies kept as JSON text are
-    parsed again only where they are written.
+    ``log`` is a marked log with its raw text. Records are written whole, with every field
+    and type they came with; only a visitor flag that was repaired is set anew.
     """
-    def line(topic: str, *parts: Column) -> Column:
-        return F.struct(F.lit(LOG_TOPICS[topic]).alias("topic"), F.to_json(F.struct(*parts)).alias("value"))
-
-    def body(name: str) -> Column:
-        return F.try_parse_json(F.col(name)).alias(name)
-
-    def bodies(name: str) -> Column:
-        return F.transform(F.col(name), lambda x: F.try_parse_json(x)).alias(name)
-
-    def items(topic: str, column: str, *extra: str) -> Column:
-        made = F.transform(F.col(column), lambda x: line(
-            topic, F.try_parse_json(x).alias(topic), F.col("common"), F.col("page"), *map(F.col, extra)))
-        return F.when(F.col("start").isNull(), made)
-
-    base = [F.col("common"), F.col("page")]
-    whole = [*base, body("start"), body("err"), bodies("displays"), bodies("actions"), F.col("ts")]
-    no_err = [c for i, c in enumerate(whole) if i != 3]
-    main = (F.when(F.col("start").isNotNull(), line("start", *no_err))
-            .otherwise(line("page", *base, F.col("ts"))))
-    single = F.array(F.when(F.col("err").isNotNull(), line("error", *whole)), main)
+    rec, common = F.col("rec"), F.col("rec")["common"]
+    wrong = F.coalesce(F.col("is_new") != leaf(common, "$.is_new"), F.lit(False))
+    repaired = F.to_variant_object(put_entry(common.try_cast(VARIANTS), "is_new", F.col("is_new").cast("variant")))
+    whole = F.when(wrong, put_entry(rec, "common", repaired)).otherwise(rec)
+
+    def line(topic: str, entries: Column) -> Column:
+        return F.struct(F.lit(LOG_TOPICS[topic]).alias("topic"), F.to_json(entries).alias("value"))
+
+    def without(*names: str) -> Column:
+        return F.map_filter(F.col("_whole"), lambda k, v: ~k.isin(*names))
+
+    def items(topic: str, column: str, *kept: str) -> Column:
+        rest = F.map_filter(F.col("_whole"), lambda k, v: k.isin(*kept))
+        made = F.transform(F.col("_whole")[column].try_cast("array<variant>"), lambda x: line(
+            topic, F.map_concat(F.create_map(F.lit(topic), x), rest)))
+        return F.when(F.col("_whole")["start"].isNull(), made)
+
+    start = F.col("_whole")["start"].isNotNull()
+    main = F.when(start, line("start", without("err"))).otherwise(line("page", without("displays", "actions", "err")))
+    single = F.array(F.when(F.col("_whole")["err"].isNotNull(), line("error", F.col("_whole"))), main)
     none = F.array().cast("array<struct<topic:string,value:string>>")
-    lines = F.concat(F.array_compact(single), F.coalesce(items("display", "displays", "ts"), none),
-                     F.coalesce(items("action", "actions"), none))
+    lines = F.concat(F.array_compact(single), F.coalesce(items("display", "displays", "common", "page", "ts"), none),
+                     F.coalesce(items("action", "actions", "common", "page"), none))
     dirty = F.array(F.struct(F.lit(DIRTY_TOPIC).alias("topic"), F.col(raw).alias("value")))
-    return log.select(F.explode(F.when(F.col("ok"), lines).otherwise(dirty)).alias("_l")).select("_l.*")
+    written = once(log.select("ok", raw, whole.alias("_w")), F.col("_w"), "_whole")
+    return written.select(F.explode(F.when(F.col("ok"), lines).otherwise(dirty)).alias("_l")).select("_l.*")
 
 
 def _pages_raw(log: DataFrame) -> DataFrame:
@@ -102,19 +105,21 @@ def _pages_raw(log: DataFrame) -> DataFrame:
 def rule_changes(preload: DataFrame | None, changes: DataFrame | None) -> DataFrame:
     """One ordered change list: preloaded rules first, then streamed changes.
 
-    ``changes`` needs ``before, after, op`` and an order column ``seq`` >= 1.
+    ``changes`` needs ``before, after, op`` and an order column ``seq`` >= 1. Changes of equal ``seq`` follow
+    ``pos``, their position in the log, if there is such a column.
     """
     parts = []
     if preload is not None:
         rule = F.struct(*[F.col(c) for c in _rule_columns()])
         parts.append(preload.select(
             F.lit(None).cast(_rule_type()).alias("before"), rule.alias("after"),
-            F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("seq")))
+            F.lit("r").alias("op"), F.lit(0).cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("pos")))
     if changes is not None:
         parts.append(changes.select(
             F.col("before").cast(_rule_type()).alias("before"),
             F.col("after").cast(_rule_type()).alias("after"),
-            "op", F.col("seq").cast("bigint").alias("seq")))
+            "op", F.col("seq").cast("bigint").alias("seq"),
+            (F.col("pos") if "pos" in changes.columns else F.lit(0)).cast("bigint").alias("pos")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -131,17 +136,17 @@ def fold_rules(changes: DataFrame, sink_type: str) -> DataFrame:
     keys = RULE_KEYS[sink_type]
     ends = (
         changes.where(F.col("before").isNotNull() & (F.col("before.sink_type") == sink_type))
-        .select(*[F.col(f"before.{k}").alias(k) for k in keys], "seq", F.lit(0).alias("step"),
+        .select(*[F.col(f"before.{k}").alias(k) for k in keys], "seq", "pos", F.lit(0).alias("step"),
                 F.lit(None).cast(_rule_type()).alias("rule"))
     )
     opens = (
         changes.where((F.col("op") != "d") & (F.col("after.sink_type") == sink_type))
-        .select(*[F.col(f"after.{k}").alias(k) for k in keys], "seq", F.lit(1).alias("step"),
+        .select(*[F.col(f"after.{k}").alias(k) for k in keys], "seq", "pos", F.lit(1).alias("step"),
                 F.col("after").alias("rule"))
     )
     # Within one change the opening (step 1) outranks the ending (step 0).
     last = ends.unionByName(opens).groupBy(*keys).agg(
-        F.max_by(F.struct("rule"), F.struct("seq", "step")).alias("last"))
+        F.max_by(F.struct("rule"), F.struct("seq", "pos", "step")).alias("last"))
     return last.select("last.rule").where(F.col("rule").isNotNull()).select("rule.*")
 
 
@@ -158,6 +163,20 @@ def route_facts(changes: DataFrame, rules: DataFrame) -> DataFrame:
     return joined.withColumn("data", listed_only("data", "_cols")).drop("_st", "_sty", "_cols")
 
 
+def route_fact_lines(changes: DataFrame, rules: DataFrame) -> DataFrame:
+    """``sink_table, value``: :func:`route_facts` on whole records, written as they came.
+
+    ``changes`` comes from :func:`rillmart.operators.parse.mark_changes`. The envelope keeps all its fields
+    and types; only ``data`` is cut to the listed columns, and ``sink_table`` is added.
+    """
+    r = rules.select(
+        F.col("source_table").alias("_st"), F.col("source_type").alias("_sty"), "sink_table", F.col("sink_columns").alias("_cols"))
+    joined = changes.join(r, (F.col("table") == F.col("_st")) & (F.col("type") == F.col("_sty")))
+    data = F.to_variant_object(listed_only(F.col("rec")["data"].try_cast(VARIANTS), "_cols"))
+    named = put_entry(put_entry("rec", "data", data), "sink_table", F.col("sink_table").cast("variant"))
+    return joined.select("sink_table", F.to_json(named).alias("value"))
+
+
 def route_dims(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Match the table alone; emit listed data, target, key column and change type."""
     r = rules.select(

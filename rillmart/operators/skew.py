@@ -17,27 +17,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many keys are treated apart. Any key outside the top N holds
-# less than 1/N of all rows, so it cannot overload a task on its own.
-HOT_KEYS = 1024
 # Below this many rows a key is not worth treating apart.
 HOT_ROWS = 100_000
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, value: str,
-                 spread_by: Sequence[str], hot_keys: int = HOT_KEYS,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 spread_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join ``rows`` to a table with one row per key: ``key, count, value``.
 
-    The heaviest keys (at most ``hot_keys`` rows, so the broadcast has a fixed
-    bound) give their value to the rows in place. All other rows find theirs in a
-    shuffle join; rows already served are dealt over all tasks by a hash of
+    The keys of ``hot_rows`` rows or more, of which there are few for that reason, give their
+    value to the rows in a join that Spark broadcasts if their measured size allows it. All other
+    rows find theirs in a shuffle join; rows already served are dealt over all tasks by a hash of
     ``spread_by`` instead of following their key, and so are rows without a key.
     The result has every row once whatever the bounds are.
     """
     hot = (
         per_key.where(F.col(count) >= hot_rows)
-        .orderBy(F.desc(count), key).limit(hot_keys)
         .select(F.col(key).alias("_hot_key"), F.col(value).alias("_hot_value"), F.lit(1).alias("_hot"))
     )
     # Always 0, but not a literal: the optimizer would take a literal out of the join key.
@@ -45,7 +40,7 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, valu
     zero = F.when(F.col(count) < 0, 1).otherwise(0)
     rest = per_key.select(
         F.col(key).alias("_key"), zero.alias("_part"), F.col(value).alias("_cold_value"))
-    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    marked = rows.join(hot, F.col(key) == F.col("_hot_key"), "left")
     follows_key = F.col("_hot").isNull() & F.col(key).isNotNull()
     part = F.when(follows_key, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)).cast("int") + 1)
@@ -55,18 +50,14 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, valu
     return joined.select(*rows.columns, found.alias(value))
 
 
-def hot_keys_of(rows: DataFrame, keys: Sequence[str], hot_keys: int = HOT_KEYS,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys, at most ``hot_keys`` of them, each with ``hot_rows`` rows or more."""
-    return (
-        rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys).limit(hot_keys).select(*keys)
-    )
+def hot_keys_of(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys that have ``hot_rows`` rows or more."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows).select(*keys)
 
 
 def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
                   pieces: Sequence[Column], keep: Sequence[str], out: str = "prev",
-                  hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add struct ``out`` with the ``keep`` columns of the preceding row of the key.
 
     ``order`` must be a total order within a key. Most keys are ordered whole.
@@ -74,9 +65,9 @@ def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     (seconds, hours); a piece never decreases along the order, and a finer one lies
     within a coarser one. What precedes a piece is handed to it as one extra row.
     """
-    hot = hot_keys_of(rows, keys, hot_keys, hot_rows).withColumn("_hot", F.lit(True))
+    hot = hot_keys_of(rows, keys, hot_rows).withColumn("_hot", F.lit(True))
     names = [f"_piece{i}" for i in range(len(pieces))]
-    marked = rows.join(F.broadcast(hot), list(keys), "left").select(
+    marked = rows.join(hot, list(keys), "left").select(
         *rows.columns, F.struct(*keep).alias("_held"), F.col("_hot"),
         *[F.when(F.col("_hot"), p).alias(n) for p, n in zip(pieces, names)])
     carry = _before_pieces(marked.where("_hot"), keys, order, names)
@@ -112,13 +103,18 @@ def _before_pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def running_max(rows: DataFrame, arrival: str, value: str, out: str,
-                block: int = 100_000, levels: int = 2) -> DataFrame:
+                block: int = 100_000, levels: int | None = None) -> DataFrame:
     """Maximum of ``value`` over all rows that arrived before, null on the first.
 
     ``arrival`` is a dense arrival number. Each block of arrivals is scanned on
     its own; what came before a block is the running maximum of the block maxima, found
-    the same way, until the ``levels``-th power of ``block`` covers all arrivals.
+    the same way, for as many levels as leave one block at the top.
     """
+    block = max(block, 2)
+    if levels is None:
+        last, levels = rows.agg(F.max(arrival)).first()[0] or 0, 0
+        while last // block ** levels >= block:
+            levels += 1
     mine, top, seen, before = (f"_{n}{levels}" for n in ("block", "top", "seen", "before"))
     if levels == 0:
         ahead = Window.orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,11 +2,14 @@
 
 Every function takes the change frame of :mod:`rillmart.operators.parse` (batch or
 stream, read once) and returns the columns of its detail table plus the event
-time ``t``. ``ttl_s`` bounds the joins; streams need it and a watermark on ``t``.
+time ``t``. A batch joins whatever is there. Streams bound their joins in event time by ``ttl_s``
+(``ORDER_TTL_S`` or ``CANCEL_TTL_S``), and need a watermark on ``t``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from ..functions import clock
 from ..functions.values import product_text
 from ..operators import parse
 from ..operators.joins import bounded_join, interval_join, lookup
+from ..operators.routing import latest_per_key
 
 ORDER_TTL_S = 5
 CANCEL_TTL_S = 15 * 60 + 5
@@ -69,7 +73,7 @@ def _with_offers(lines: DataFrame, cdc: DataFrame, ttl_s: int | None) -> DataFra
     return bounded_join(out, coupon, on, "left", ttl_s=ttl_s).drop("order_detail_id")
 
 
-def order_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = ORDER_TTL_S) -> DataFrame:
+def order_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:
     """Order lines with their order, activity, coupon and source type."""
     lines = lookup(order_lines(cdc), dic, "source_type", "source_type_name")
     orders = parse.changes_of(cdc, "order_info", "insert").select(
@@ -79,28 +83,31 @@ def order_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = ORDER_TTL_S
         "date_id", clock.day_of_text("create_time")).select(*ORDER_COLUMNS, "t")
 
 
-def cancel_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = CANCEL_TTL_S) -> DataFrame:
+def cancel_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:
     """Lines of orders whose status moved to cancelled; the time is the cancellation's."""
     lines = lookup(order_lines(cdc), dic, "source_type", "source_type_name")
     cancelled = parse.changes_of(cdc, "order_info").where(parse.moved_to("order_status", "1003")).select(
         *parse.fields("user_id", "province_id", "operate_time", _order="id"),
-        F.col("ts").alias("_cancel_ts"), "t")
-    wide = bounded_join(lines, cancelled, {"order_id": "_order"}, ttl_s=ttl_s)
+        F.col("ts").alias("_cancel_ts"), F.col("t").alias("_cancel_t"))
+    wide = bounded_join(lines, cancelled, {"order_id": "_order"}, t_right="_cancel_t", ttl_s=ttl_s)
     return (
         _with_offers(wide, cdc, ttl_s)
-        .drop("ts", "create_time")
-        .withColumnsRenamed({"operate_time": "cancel_time", "_cancel_ts": "ts",
+        .drop("ts", "t", "create_time")
+        .withColumnsRenamed({"operate_time": "cancel_time", "_cancel_ts": "ts", "_cancel_t": "t",
                              "source_type": "source_type_code"})
         .withColumn("date_id", clock.day_of_text("cancel_time"))
         .select(*CANCEL_COLUMNS, "t")
     )
 
 
-def pay_detail(details: DataFrame, cdc: DataFrame, dic: DataFrame, strict: bool = False) -> DataFrame:
+def pay_detail(details: DataFrame, cdc: DataFrame, dic: DataFrame, strict: bool = False,
+               tie: Sequence[str] = ()) -> DataFrame:
     """Order detail rows paid from 15 minutes after the order row to 5 seconds before it.
 
     ``details`` is the order detail table with its event time ``t``. ``strict`` asks
-    for an update that sets the payment status to successful.
+    for an update that sets the payment status to successful. A batch keeps the last payment of
+    each detail row (by ``ts``, then the columns of ``tie``); a stream emits each, for a sink keyed
+    by ``order_detail_id``.
     """
     paid = parse.changes_of(cdc, "payment_info")
     if strict:
@@ -111,16 +118,20 @@ def pay_detail(details: DataFrame, cdc: DataFrame, dic: DataFrame, strict: bool
                     F.col("ts").alias("_pay_ts"), F.col("t").alias("_pay_t")),
         dic, "payment_type_code", "payment_type_name")
     joined = interval_join(details, paid, {"order_id": "_order"}, t_right="_pay_t")
-    return (
+    rows = (
         joined.drop("ts", "t")
         .withColumnsRenamed({"id": "order_detail_id", "_pay_ts": "ts", "_pay_t": "t",
                              "source_type": "source_type_code",
                              "split_total_amount": "split_payment_amount"})
         .select(*PAY_COLUMNS, "t")
     )
+    if rows.isStreaming:
+        return rows
+    numbered = rows.withColumn("_s", F.col("ts").cast("long"))
+    return latest_per_key(numbered, ["order_detail_id"], ["_s", *tie]).drop("_s")
 
 
-def order_refund(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = ORDER_TTL_S) -> DataFrame:
+def order_refund(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:
     """Refund requests of orders whose status moved to refunding, with both code names."""
     asked = parse.changes_of(cdc, "order_refund_info", "insert").select(
         *parse.fields("id", "user_id", "order_id", "sku_id", "refund_num", "refund_amount",
@@ -134,7 +145,7 @@ def order_refund(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = ORDER_TTL_S
     return wide.withColumn("date_id", clock.day_of_text("create_time")).select(*REFUND_COLUMNS, "t")
 
 
-def refund_pay(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = ORDER_TTL_S,
+def refund_pay(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None,
                strict: bool = False) -> DataFrame:
     """Paid refunds with the refunded number of their request.
 

@@ -13,7 +13,8 @@ from ..operators import keyed, parse, routing
 def log_topics(raw: DataFrame, text: str = "value", order: Sequence[str] = ("ts",)) -> DataFrame:
     """Rows ``topic, value`` of a batch of raw log: five log topics and the dirty text.
 
-    The log is parsed once; every record yields its topics' rows in the same pass.
+    Every record yields its topics' rows in one pass, with all the fields and types it came with.
+    The first days of visitors are a second reading of the log.
     """
     marked = parse.mark_log(raw, text)
     return routing.fan_out(keyed.repair_log(marked, order), text)
@@ -25,6 +26,13 @@ def routed_facts(cdc: DataFrame, preload: DataFrame | None, changes: DataFrame |
     return routing.route_facts(parse.valid_changes(cdc), rules)
 
 
+def routed_fact_lines(text: DataFrame, preload: DataFrame | None, changes: DataFrame | None,
+                      column: str = "value") -> DataFrame:
+    """``sink_table, value`` of raw changes: what :func:`routed_facts` writes, with every field and type."""
+    rules = routing.fold_rules(routing.rule_changes(preload, changes), "dwd")
+    return routing.route_fact_lines(parse.mark_changes(text, column), rules)
+
+
 def routed_dims(cdc: DataFrame, preload: DataFrame | None, changes: DataFrame | None) -> DataFrame:
     """Valid changes of dimension tables, as rows for their dimension tables."""
     rules = routing.fold_rules(routing.rule_changes(preload, changes), "dim")

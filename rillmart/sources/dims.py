@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import names_of, upper_keys  # noqa: F401  (re-exported for dimension readers)
+from ..functions.values import names_of
 
 DICTIONARY_SCHEMA = ("dic_code string, dic_name string, parent_code string, "
                      "create_time timestamp, operate_time timestamp")

@@ -48,14 +48,13 @@ def log_topics(raw: DataFrame, text: str = "value", order: Sequence[str] = ("ts"
     marked = parse.mark_log(raw, text)
     spread = F.concat(F.lit("?"), F.pmod(F.xxhash64(text), F.lit(DIRTY_KEYS)))
     head = with_day(marked).select(
-        *[c for c in raw.columns], F.when(F.col("ok"), F.col("common.mid")).otherwise(spread).alias("_mid"),
-        F.col("common.is_new").alias("is_new"), F.coalesce("_day", F.lit(0)).alias("_day"),
+        *[c for c in raw.columns], F.when(F.col("ok"), F.col("mid")).otherwise(spread).alias("_mid"),
+        "is_new", F.coalesce("_day", F.lit(0)).alias("_day"),
         F.coalesce("ts", F.lit(0)).alias("ts"), "ok")
     fixed = visitor_flags(head, "_mid", order, mode).select(
         *raw.columns, F.col("is_new").alias("_is_new"))
     again = parse.mark_log(fixed, text)
-    repaired = again.withColumn("common", F.col("common").withField("is_new", F.col("_is_new")))
-    return routing.fan_out(repaired, text)
+    return routing.fan_out(again.withColumn("is_new", F.col("_is_new")), text)
 
 
 def keyword_page_view(log: DataFrame, dictionary: Iterable[str] | None = None, delay_s: int = 3,

@@ -17,9 +17,9 @@ def rule_table(spark: SparkSession, preload: DataFrame | None, changes_path: str
     """Rules as known now: the preloaded ones and all changes landed as parquet so far.
 
     A stream of config changes appends to ``changes_path`` (columns ``before, after, op,
-    seq``); every call lists the directory anew.
+    seq, pos``); every call lists the directory anew.
     """
-    schema = StructType.fromDDL(f"{RULE_CHANGE_SCHEMA}, seq bigint")
+    schema = StructType.fromDDL(f"{RULE_CHANGE_SCHEMA}, seq bigint, pos bigint")
 
     def now() -> tuple[DataFrame | None, DataFrame | None]:
         return preload, spark.read.schema(schema).parquet(changes_path)

@@ -5,7 +5,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
-from rillmart.operators import parse
+from rillmart.operators import parse, routing
 from rillmart.plans import detail, summary
 from rillmart.streaming import jobs
 from rillmart.streaming.processors import _place, thin
@@ -128,7 +128,7 @@ def test_order_detail_stream(spark, sf, tmp_path):
     dic = feeds.dictionary(spark, sf)
     live = as_stream(cdc, tmp_path / "in", "s")
     far.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    live = detail.order_detail(live.withWatermark("t", "10 seconds"), dic)
+    live = detail.order_detail(live.withWatermark("t", "10 seconds"), dic, detail.ORDER_TTL_S)
     got = []
 
     def keep(batch, _):
@@ -138,7 +138,7 @@ def test_order_detail_stream(spark, sf, tmp_path):
         availableNow=True).start()
     q.awaitTermination(300)
     assert q.exception() is None
-    want = rows(detail.order_detail(cdc, dic).drop("t"))
+    want = rows(detail.order_detail(cdc, dic, detail.ORDER_TTL_S).drop("t"))
     have = sorted(tuple(str(r[c]) for c in sorted(detail.ORDER_COLUMNS)) for r in got if r["id"] != "end")
     assert want and have == want
 
@@ -169,6 +169,15 @@ def test_lateness_refreshes_a_window(spark, tmp_path):
     assert sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"]) == 1
 
 
+TTL = detail.ORDER_TTL_S
+
+
+def latest(df):
+    """What a sink keyed by the detail row holds."""
+    return routing.latest_per_key(df.withColumn("s", F.col("ts").cast("long")), ["order_detail_id"], [
+        "s", "sku_id", "source_id", "split_payment_amount", "sku_num"]).drop("s")
+
+
 def test_pay_and_refund_streams(spark, sf, tmp_path):
     """Interval join and chained two-key inner joins."""
     cdc = feeds.cdc_frame(spark, sf).withColumn("s", F.col("ts").cast("long"))
@@ -178,14 +187,15 @@ def test_pay_and_refund_streams(spark, sf, tmp_path):
                          tmp_path / "cdc", "s", 2).withWatermark("t", "1 hour")
     live_details = as_stream(details, tmp_path / "details", "s", 2).withWatermark("t", "1 hour")
     paid = detail.pay_detail(live_details, live_cdc, dic)
-    for name, live, want in (("pay", paid, detail.pay_detail(details.drop("s"), cdc, dic)),
-                             ("refund", detail.refund_pay(live_cdc, dic), detail.refund_pay(cdc, dic)),
-                             ("asked", detail.order_refund(live_cdc, dic), detail.order_refund(cdc, dic))):
+    for name, live, want in (("pay", paid, detail.pay_detail(details.drop("s"), cdc, dic, tie=["sku_id", "source_id", "split_payment_amount", "sku_num"])),
+                             ("refund", detail.refund_pay(live_cdc, dic, TTL), detail.refund_pay(cdc, dic, TTL)),
+                             ("asked", detail.order_refund(live_cdc, dic, TTL), detail.order_refund(cdc, dic, TTL))):
         out = str(tmp_path / name)
         q = live.drop("t").writeStream.format("parquet").option("path", out).option(
             "checkpointLocation", out + "_c").trigger(availableNow=True).start()
         assert q.awaitTermination(120) and q.exception() is None
-        assert rows(want) and rows(spark.read.parquet(out)) == rows(want.drop("t"))
+        got = spark.read.parquet(out)
+        assert rows(want) and rows(latest(got) if name == "pay" else got) == rows(want.drop("t"))
 
 
 def test_cart_and_refund_user_streams(spark, sf, tmp_path):
@@ -214,9 +224,9 @@ def test_cancel_detail_stream(spark, sf, tmp_path):
         cdc.where(parse.moved_to("order_status", "1003")).limit(1).withColumn(
             "data", feeds.entries(id=F.lit("end"), order_status=F.lit("1003"))).withColumn(
             "t", F.timestamp_seconds(F.lit(4000000000)))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    live = detail.cancel_detail(live.withWatermark("t", "10 seconds"), dic)
+    live = detail.cancel_detail(live.withWatermark("t", "10 seconds"), dic, detail.CANCEL_TTL_S)
     q = live.drop("t").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
         "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     assert q.awaitTermination(200) and q.exception() is None
-    want = rows(detail.cancel_detail(cdc, dic).drop("t"))
+    want = rows(detail.cancel_detail(cdc, dic, detail.CANCEL_TTL_S).drop("t"))
     assert want and rows(spark.read.parquet(str(tmp_path / "out"))) == want
