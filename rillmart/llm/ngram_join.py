@@ -14,6 +14,8 @@ of their hashes, which cuts into fragments of equal share without counting.
    Pairs whose histograms over the order rule the similarity out are dropped before.
 4. Partial overlaps: every pair's two sets are cut into ``VERTICAL`` fragments of the order;
    each fragment's overlap is counted apart, then summed over the pair: the exact intersection.
+   Only the sets of candidates are shuffled; a bitmap of bounded size finds their texts in one more
+   reading, and what it lets through besides is dropped by a join.
 
 No link between different texts is lost: a pair not verified lies within one component. Groups of near
 copies cost rows in proportion to their size, not to its square.
@@ -37,6 +39,8 @@ from .words import by_text, mix, shingle_hashes, word_hashes
 VERTICAL = 8
 BINS = 256
 HELD = 2_000_000         # keys that a task holds before it sends or gives them
+PAGE = 32_768            # bits of one page of a bitmap
+MOST_BITS = 1 << 29      # of the bitmap of candidates that is broadcast: 64 MB at most
 CROWD = 2_000            # classes of one bucket that are compared in one group
 
 
@@ -180,17 +184,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows
 
 
-def _parts(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(k: int, wanted, parts: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows whose ``spot`` is marked in the bitmap ``wanted``: class, size, and histogram or parts of the set."""
+    marked = np.unpackbits(wanted.value, bitorder="little")
     for batch in batches:
-        sets = list(sets_of(batch.column("text").to_pylist(), k))
+        batch = batch.filter(pa.array(marked[batch.column("spot").to_numpy()] > 0))
+        sets = [s for s in sets_of(batch.column("text").to_pylist(), k) if len(s)]
         bins = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BINS) for s in sets]
-        cuts = [np.concatenate(([0], np.cumsum(b)))[:: BINS // VERTICAL] for b in bins]
+        if parts:
+            cuts = [np.concatenate(([0], np.cumsum(b)))[:: BINS // VERTICAL] for b in bins]
+            last = pa.array([[s.view(np.int64)[i:j] for i, j in zip(c[:-1], c[1:], strict=True)]
+                             for s, c in zip(sets, cuts, strict=True)], pa.list_(pa.list_(pa.int64())))
+        else:      # counts beyond 16 bits only make the bound weaker
+            last = pa.array([np.minimum(b, 32767).tolist() for b in bins], pa.list_(pa.int16()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([b.tolist() for b in bins], pa.list_(pa.int32())),
-             pa.array([[s.view(np.int64)[i:j] for i, j in zip(c[:-1], c[1:], strict=True)] for s, c in zip(sets, cuts, strict=True)],
-                      pa.list_(pa.list_(pa.int64())))],
-            names=["class", "n", "bins", "parts"])
+            [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), last],
+            names=["class", "n", "parts" if parts else "bins"])
 
 
 def _across(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +233,7 @@ def _across(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         if not batch.num_rows:
             continue
         rows = {c: batch.column(c).to_numpy() for c in names}
-        rows["bins"] = batch.column("bins").flatten().to_numpy().reshape(batch.num_rows, BINS)
+        rows["bins"] = batch.column("bins").flatten().to_numpy().astype(np.int32).reshape(batch.num_rows, BINS)
         if held is not None:
             rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
         same = np.ones(len(rows["key"]), bool)
@@ -237,21 +246,34 @@ def _across(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield from out(held)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose similarity reaches ``least`` percent, by summed partial overlaps."""
-    size = sets.select("class", "n", "bins")
-    ends = pairs.join(size.toDF("a", "na", "bins_a"), "a").join(size.toDF("b", "nb", "bins_b"), "b")
-    apart = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+def similar_enough(pairs: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose histograms allow the similarity, with the sum of their sizes."""
+    ends = pairs.join(sketches.toDF("a", "na", "bins_a"), "a").join(sketches.toDF("b", "nb", "bins_b"), "b")
+    apart = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
     both = F.col("na") + F.col("nb")
-    near = checkpointed(ends.filter(apart * (100 + least) <= both * (100 - least)).select("a", "b", both.alias("both")))
-    parts = sets.select("class", F.posexplode("parts").alias("fragment", "grams"))
-    partial = near.join(parts.toDF("a", "fragment", "grams_a"), "a").join(parts.toDF("b", "fragment", "grams_b"), ["b", "fragment"])
-    overlap = partial.select("a", "b", "both", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("overlap"))
-    inner = F.sum("overlap")
-    return overlap.groupBy("a", "b", "both").agg(inner.alias("inner")).filter(
+    return ends.filter(apart * (100 + least) <= both * (100 - least)).select("a", "b", both.alias("both"))
+
+
+def verified(near: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs whose similarity reaches ``least`` percent, by partial overlaps of each fragment, summed."""
+    cut = near.join(sets.select(F.col("class").alias("a"), F.col("parts").alias("parts_a")), "a").join(
+        sets.select(F.col("class").alias("b"), F.col("parts").alias("parts_b")), "b")
+    partial = F.zip_with("parts_a", "parts_b", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
+    inner = F.aggregate(partial, F.lit(0).cast("long"), lambda s, x: s + x)
+    return cut.select("a", "b", "both", inner.alias("inner")).filter(
         100 * F.col("inner") >= least * (F.col("both") - F.col("inner"))).select("a", "b")
 
 
+def bitmap(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
+    """``bits`` bits, set at the ``spot`` of each row: so many bytes, however many rows."""
+    pages = rows.select(spot.alias("spot")).groupBy((F.col("spot") / PAGE).cast("int").alias("page")).agg(
+        F.bitmap_construct_agg(F.col("spot") % PAGE).alias("map")).collect()
+    out = np.zeros(-(-bits // PAGE) * PAGE // 8, np.uint8)
+    for r in pages:
+        out[r["page"] * PAGE // 8: (r["page"] + 1) * PAGE // 8] = np.frombuffer(r["map"], np.uint8)
+    return out
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, sign, is_first) of every row: groups of texts linked by similarity.
 
@@ -307,14 +329,30 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
         _shared, "key long, class long"))
     wanted = buckets.groupBy("class").agg(F.count("*").alias("shared"))
     first = members.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "sign")).alias("first"))
-    chosen = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign"))
-    sets = checkpointed(texts.join(chosen, (texts["sign"] == chosen["sign"]) & texts["doc_id"].eqNullSafe(chosen["first_id"]), "left_semi")
-                        .select("text").mapInArrow(lambda it: _parts(k, it), "class long, n long, bins array<int>, parts array<array<long>>")
-                        .dropDuplicates(["class"]))
+    chosen = checkpointed(first.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign")))
+
+    def sets(classes: DataFrame, parts: bool) -> DataFrame:
+        rows = chosen.join(classes, "class", "left_semi")
+        bits = PAGE
+        while bits < min(MOST_BITS, 64 * rows.count()):
+            bits *= 2
+        spot = lambda name: F.pmod(F.xxhash64(name, "sign"), F.lit(bits))
+        marked = texts.sparkSession.sparkContext.broadcast(bitmap(rows, spot("first_id"), bits))
+        last = "parts array<array<long>>" if parts else "bins array<short>"
+        found = texts.select(spot("doc_id").alias("spot"), "text").mapInArrow(
+            lambda it: _candidates(k, marked, parts, it), f"class long, n long, {last}")
+        return found.repartition(spread, "class").join(classes, "class", "left_semi").dropDuplicates(["class"])
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        near = checkpointed(similar_enough(pairs, sketches, least))
+        ends = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        return checkpointed(verified(near, sets(ends, parts=True), least))
+
+    sketches = checkpointed(sets(wanted.select("class"), parts=False))
     centres = buckets.join(wanted, "class").groupBy("key").agg(F.max(F.struct("shared", "class")).getField("class").alias("centre"))
     stars = buckets.join(centres, "key").filter(F.col("class") != F.col("centre")).select(
         F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
-    links = checkpointed(verified(stars, sets, least))
+    links = links_of(stars)
     parts = checkpointed(components(links))
     placed = buckets.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
@@ -323,9 +361,9 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
         F.col("x") != F.col("y")).select("key", "parts")
     crowd = placed.join(open_keys, "key").withColumn("part", F.pmod(F.xxhash64("class"), "parts")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    groups = crowd.join(sets.select("class", "n", "bins"), "class").select(
+    groups = crowd.join(sketches, "class").select(
         "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "class", "component", "n", "bins")
     more = groups.repartition(spread, "key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(
         lambda it: _across(least, it), "a long, b long").distinct()
-    all_links = links.unionByName(verified(more, sets, least))
+    all_links = links.unionByName(links_of(more))
     return components(all_links).withColumnRenamed("node", "class")
