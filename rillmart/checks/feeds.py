@@ -257,6 +257,11 @@ def cdc_frame(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def shop_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The change topic of the shop as JSON text."""
+    return cdc_frame(spark, sf).select(F.to_json(F.struct("database", "table", "type", "data", "old", "ts")).alias("value"))
+
+
 def cdc_text(spark: SparkSession, sf: str) -> DataFrame:
     """Order changes as JSON text with bootstrap records and broken text among them."""
     o = table(spark, sf, "orders")

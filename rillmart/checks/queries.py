@@ -12,6 +12,7 @@ from ..operators import joins, keyed, parse, routing, windows
 from ..plans import detail, ingest, summary
 from ..session import prepare
 from ..sources import dims as dim_sources
+from ..sources import topics
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +305,13 @@ def order_detail_wide(spark, sf):
     return _wide(detail.order_detail, spark, sf)
 
 
+@query
+def order_detail_text(spark, sf):
+    """From the text of the change topic: envelope and data maps are parsed, nothing is folded away."""
+    cdc = topics.read_cdc(feeds.shop_text(spark, sf))
+    return _timed(detail.order_detail(cdc, feeds.dictionary(spark, sf)))
+
+
 @query
 def order_detail_bounded(spark, sf):
     """As a stream joins: partners more than five seconds apart do not meet."""

@@ -370,6 +370,7 @@ SQL: dict[str, str] = {
           category3_name, category2_id, category2_name, category1_id, category1_name
         FROM li LEFT JOIN sku ON sku_id = sku.id LEFT JOIN spu ON spu_id = spu.id {CHAIN}""",
     "order_detail_wide": f"WITH {WIDE.format(near='', act_near='')} SELECT * EXCLUDE (s) FROM wide",
+    "order_detail_text": f"WITH {WIDE.format(near='', act_near='')} SELECT * EXCLUDE (s) FROM wide",
     "order_detail_bounded": f"""WITH {WIDE.format(near='AND abs(l.s - o.s) <= 5', act_near='AND a.apart <= 5')}
         SELECT * EXCLUDE (s) FROM wide""",
     "order_cancel_wide": f"""WITH {LINES}, {ORDERS}, {OFFERS}, {DIC}

@@ -28,20 +28,20 @@ def rule_table(spark: SparkSession, preload: DataFrame | None, changes_path: str
 
 
 def route_batches(rules: Callable[[], tuple[DataFrame | None, DataFrame | None]], facts_path: str,
-                  dims_path: str) -> Callable[[DataFrame, int], None]:
+                  dims_path: str, run: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` over parsed changes: facts to topics, dimensions to keyed tables.
 
     ``rules`` gives the preloaded rules and the changes so far; it is called once
     per micro-batch, and what it gives holds for the whole batch. Facts of a batch go
-    to a directory of their own, so a repeated batch replaces its rows.
+    to a directory of their own, so a repeated batch replaces its rows. A new checkpoint takes a greater ``run``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         preload, changes = rules()
         every = routing.rule_changes(preload, changes)
         valid = parse.valid_changes(batch)
         facts = routing.route_facts(valid, routing.fold_rules(every, "dwd"))
-        facts.write.mode("overwrite").partitionBy("sink_table").json(f"{facts_path}/batch={batch_id}")
+        facts.write.mode("overwrite").partitionBy("sink_table").json(f"{facts_path}/run={run}/batch={batch_id}")
         dims = routing.route_dims(valid, routing.fold_rules(every, "dim"))
-        upsert_dims(dims_path, [c for c in ("t", "ts") if c in dims.columns])(dims, batch_id)
+        upsert_dims(dims_path, [c for c in ("t", "ts") if c in dims.columns], run)(dims, batch_id)
 
     return write

@@ -54,6 +54,12 @@ def test_upsert_is_idempotent_and_last_wins(spark, tmp_path):
         return sorted((r.id, r.v) for r in sinks.read_upserts(spark, p, ["id"]).collect())
 
     assert now(path) == [("2", "d"), ("3", "e")]
+    restarted = sinks.upsert(path, ["id"], ["s"], run=1)      # a new checkpoint counts from 0 again
+    restarted(spark.createDataFrame([("2", "new", 1, False)], schema), 0)
+    assert now(path) == [("2", "new"), ("3", "e")]
+    put(spark.createDataFrame([("2", "d", 1, False)], schema), 2)
+    assert now(path) == [("2", "new"), ("3", "e")]
+    restarted(spark.createDataFrame([("2", "d", 1, False)], schema), 1)
     sinks.compact(spark, path, str(tmp_path / "v"), ["id"], 1)
     assert now(str(tmp_path / "v")) == [("2", "d"), ("3", "e")]
 
