@@ -8,8 +8,8 @@
    ``(u / (1 - u)) / (f / (1 - f))``; they get one more copy in that order until the words still
    missing are filled, to the nearest document. The sample's size in words is so fixed.
 
-A source may hold most rows: documents are never ordered by source. Sizes are summed over at most
-``BINS`` rank bins a source, which names the bin where the target is met; bins below are taken whole,
+A source may hold most rows: documents are never ordered by source. Sizes are summed over rank
+bins, in number from the source's documents and at most ``BINS``, which names the bin where the target is met; bins below are taken whole,
 and only the rows of that one bin are ordered. Joins to per-source figures are salted.
 """
 
@@ -21,7 +21,8 @@ from pyspark.sql.window import Window
 
 from .frames import checkpointed
 
-BINS = 65536
+BINS = 65536             # at most, of a source; one for PER_BIN documents below that
+PER_BIN = 256
 SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["no_source", "source_key"]
@@ -44,7 +45,7 @@ def ranked_sources(sources: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     rank = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1)
     weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights)).cast("int") + 1)
-    return placed.join(before, "part").select(*KEY, "source_size", weight.alias("weight"))
+    return placed.join(before, "part").select(*KEY, "source_size", "bins", weight.alias("weight"))
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -92,7 +93,7 @@ def class_rates(sized: DataFrame, targets: DataFrame, most: int) -> DataFrame:
                 F.col("class") * -1, after_head.alias("r")))).over(Window.partitionBy(*KEY)).getField("r")))
     wanted = F.least(F.lit(float(most)), F.coalesce(rate, F.lit(float(most))) * F.col("class"))
     return (upto.withColumn("wanted", wanted)
-            .select(*KEY, "class", "source_size", "target", F.floor("wanted").alias("certain"),
+            .select(*KEY, "class", "source_size", "bins", "target", F.floor("wanted").alias("certain"),
                     (F.col("wanted") - F.floor("wanted")).alias("f")))
 
 
@@ -126,13 +127,14 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), sign.alias("sign")).withColumn(
             "class", weight_class(F.col("size"))).withColumn(
             "salt", F.conv(F.substring("sign", 13, 4), 16, 10).cast("int") % SALTS))
-    sources = sized.groupBy(*KEY).agg(F.sum("size").alias("source_size"))
+    bins = F.least(F.lit(BINS), F.ceil(F.count("*") / PER_BIN))
+    sources = sized.groupBy(*KEY).agg(F.sum("size").alias("source_size"), bins.alias("bins"))
     rates = checkpointed(class_rates(sized, source_targets(sources, weights, most), most))
     u = (F.conv(F.substring("sign", 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     f = F.col("f")
     ranked = salted(sized, rates, [*KEY, "class"]).withColumn(
         "q", F.when(f > 0, (u * (1 - f)) / ((1 - u) * f))).withColumn(
-        "bin", F.least(F.floor(F.col("q") / (1 + F.col("q")) * BINS), F.lit(BINS - 1)))
+        "bin", F.when(F.col("q").isNotNull(), F.least(F.floor(F.col("q") / (1 + F.col("q")) * F.col("bins")), F.col("bins") - 1)))
     sums = ranked.groupBy(*KEY, "bin").agg(
         F.coalesce(F.sum(F.when(F.col("q").isNotNull(), F.col("size"))), F.lit(0)).alias("words"),
         F.sum(F.col("certain") * F.col("size")).alias("certain_words"), F.first("target").alias("target"))
