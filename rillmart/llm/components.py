@@ -29,13 +29,13 @@ def components(links: DataFrame) -> DataFrame:
     logarithm of a component's width. Edges are cut from their lineage after each round.
     """
     edges = checkpointed(links.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), few=True)
     state = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
             break
         state = now
-        edges = checkpointed(_stars(_stars(edges, small=False), small=True))
+        edges = checkpointed(_stars(_stars(edges, small=False), small=True), few=True)
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

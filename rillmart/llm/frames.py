@@ -20,16 +20,18 @@ def ready(spark: SparkSession, batch_rows: int = 256) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
+def checkpointed(df: DataFrame, few: bool = False) -> DataFrame:
     """``df`` cut from its lineage, in the shared folder of ``spark.checkpoint.dir``.
 
-    A folder of this machine serves only where the session names none, as in tests.
+    A folder of this machine serves only where the session names none, as in tests. ``few`` is for
+    frames that are short next to the input, such as links: they are written by no more tasks
+    than twice those that run at once, so that rounds over them don't leave thousands of small files.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rillmart-"))
-    return df.checkpoint(eager)
+    return (df.coalesce(2 * context.defaultParallelism) if few else df).checkpoint()
 
 
 def partitions(spark: SparkSession) -> int:

@@ -161,7 +161,7 @@ def train(docs: DataFrame, learn_from: Column | None = None, sample: int = SAMPL
     n = counted.pop(-1, 0)
     seen[list(counted)] = list(counted.values())
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
-    totals = checkpointed(known.groupBy("lang").count())
+    totals = checkpointed(known.groupBy("lang").count(), few=True)
     enough = 2.0 * sample / max(1, totals.count()) / F.col("count")      # twice a language's part of the sample
     shares = totals.select("lang", enough.alias("share"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     place = F.xxhash64(F.lit("language"), "doc_id")

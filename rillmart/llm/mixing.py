@@ -54,7 +54,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> D
     Each round is one aggregate over the sources: those whose cap lies below their share keep
     the cap, the rest share what is left. Rounds end when no further cap is reached.
     """
-    ranked = checkpointed(ranked_sources(sources, weights))
+    ranked = checkpointed(ranked_sources(sources, weights), few=True)
     cap, weight = F.col("source_size") * most, F.col("weight")
     total = ranked.agg(F.sum("source_size").alias("t"), F.sum("weight").alias("w")).first()
     if total.t is None:
@@ -129,7 +129,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
             "salt", F.conv(F.substring("sign", 13, 4), 16, 10).cast("int") % SALTS))
     bins = F.least(F.lit(BINS), F.ceil(F.count("*") / PER_BIN))
     sources = sized.groupBy(*KEY).agg(F.sum("size").alias("source_size"), bins.alias("bins"))
-    rates = checkpointed(class_rates(sized, source_targets(sources, weights, most), most))
+    rates = checkpointed(class_rates(sized, source_targets(sources, weights, most), most), few=True)
     u = (F.conv(F.substring("sign", 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     f = F.col("f")
     ranked = salted(sized, rates, [*KEY, "class"]).withColumn(

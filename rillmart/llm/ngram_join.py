@@ -329,7 +329,7 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
         _shared, "key long, class long"))
     wanted = buckets.groupBy("class").agg(F.count("*").alias("shared"))
     first = members.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "sign")).alias("first"))
-    chosen = checkpointed(first.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign")))
+    chosen = checkpointed(first.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign")), few=True)
 
     def sets(classes: DataFrame, parts: bool) -> DataFrame:
         rows = chosen.join(classes, "class", "left_semi")
@@ -344,16 +344,16 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
         return found.repartition(spread, "class").join(classes, "class", "left_semi").dropDuplicates(["class"])
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        near = checkpointed(similar_enough(pairs, sketches, least))
+        near = checkpointed(similar_enough(pairs, sketches, least), few=True)
         ends = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        return checkpointed(verified(near, sets(ends, parts=True), least))
+        return checkpointed(verified(near, sets(ends, parts=True), least), few=True)
 
     sketches = checkpointed(sets(wanted.select("class"), parts=False))
     centres = buckets.join(wanted, "class").groupBy("key").agg(F.max(F.struct("shared", "class")).getField("class").alias("centre"))
     stars = buckets.join(centres, "key").filter(F.col("class") != F.col("centre")).select(
         F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
     links = links_of(stars)
-    parts = checkpointed(components(links))
+    parts = checkpointed(components(links), few=True)
     placed = buckets.select("key", "class").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     open_keys = placed.groupBy("key").agg(
