@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from ..operators import joins, keyed, parse, routing, windows
 from ..plans import detail, ingest, summary
 from ..session import prepare
 from ..sources import dims as dim_sources
-from ..sources import topics
+from ..sources import sinks, topics
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -307,9 +309,11 @@ def order_detail_wide(spark, sf):
 
 @query
 def order_detail_text(spark, sf):
-    """From the text of the change topic: envelope and data maps are parsed, nothing is folded away."""
-    cdc = topics.read_cdc(feeds.shop_text(spark, sf))
-    return _timed(detail.order_detail(cdc, feeds.dictionary(spark, sf)))
+    """From the text of the change topic: parsed once and landed by source table, then read by the joins."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rillmart-")
+    landed = f"{shared.rstrip('/')}/cdc-{uuid.uuid4().hex}"
+    sinks.land_cdc(parse.valid_changes(topics.read_cdc(feeds.shop_text(spark, sf))), landed)
+    return _timed(detail.order_detail(spark.read.parquet(landed), feeds.dictionary(spark, sf)))
 
 
 @query
