@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 DICTIONARY_SCHEMA = ("dic_code string, dic_name string, parent_code string, "
                      "create_time timestamp, operate_time timestamp")
 
