@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, lm, mixing, neighbours, ngram_join, passages, toxicity, urls
+from . import (
+    bpe,
+    centroids,
+    fingerprints,
+    langid,
+    lm,
+    mixing,
+    neighbours,
+    ngram_join,
+    passages,
+    quality,
+    resampling,
+    toxicity,
+    urls,
+)
 from .frames import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +108,21 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    docs, target = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    return resampling.importance_ranks(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judged(spark.read.parquet(f"{sf}/documents.parquet")).select(
+        "doc_id", *quality.MEASURES, "base_failed", "kept", "removed_words")
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark, 4096)
+    return centroids.cluster_report(spark.read.parquet(f"{sf}/embeddings.parquet"))

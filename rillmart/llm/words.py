@@ -9,6 +9,7 @@ import xxhash
 
 #: A-Z to a-z, and the six white space characters of ``[^\x20\x09-\x0D]+`` to a blank.
 FOLD = bytes(32 if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+BLANK = bytes(32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 CHUNK = 1 << 20
 LONG = 4096              # longer words are hashed one by one
 BASE = 0x9E3779B97F4A7C15
@@ -46,13 +47,15 @@ def _chunk_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     return hashes, starts
 
 
-def word_hashes(texts: Iterable[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Iterable[bytes | None], fold: bytes = FOLD) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` of A-Z lower-cased texts, words in each text).
 
+    ``BLANK`` for ``fold`` keeps the case of letters.
+
     Texts are worked on a chunk at a time, cut between words, so memory follows the chunk, the
     longest word and the result.
     """
-    folded = [(t or b"").translate(FOLD) for t in texts]
+    folded = [(t or b"").translate(fold) for t in texts]
     sizes = np.array([len(t) + 1 for t in folded], np.int64)
     buffer = b" ".join(folded)
     found, places, at = [], [], 0
