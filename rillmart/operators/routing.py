@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clock import from_epoch_s
 from ..functions.payload import VARIANTS, leaf, put_entry
 from ..functions.values import listed_only
 from .parse import once
@@ -26,9 +27,6 @@ LOG_TOPICS = {
 }
 DIRTY_TOPIC = "dirty_data"
 
-RULE_KEYS = {"dwd": ("source_table", "source_type"), "dim": ("source_table",)}
-
-
 # --- log split -------------------------------------------------------------
 
 def errors(log: DataFrame) -> DataFrame:
@@ -126,28 +124,50 @@ def rule_changes(preload: DataFrame | None, changes: DataFrame | None) -> DataFr
     return out
 
 
+def rule_events(changes: DataFrame, sink_type: str) -> DataFrame:
+    """What each change does to the rules of fact (``dwd``) or dimension (``dim``) sinks.
+
+    ``sink_type, source_table, source_type`` is the rule's key (no ``source_type`` for dimensions), ``rule`` what it is
+    from then on, null when it ends. A deletion ends the rule under its old key. An update that changes the key or the
+    sink type ends the old one as well and opens the new one.
+    """
+    def at(side: str, step: int, rule: Column) -> list[Column]:
+        kind = F.col(f"{side}.source_type") if sink_type == "dwd" else F.lit(None).cast("string")
+        return [F.lit(sink_type).alias("sink_type"), F.col(f"{side}.source_table").alias("source_table"),
+                kind.alias("source_type"), "seq", "pos", F.lit(step).alias("step"), rule.alias("rule")]
+
+    ends = changes.where(F.col("before").isNotNull() & (F.col("before.sink_type") == sink_type)).select(
+        *at("before", 0, F.lit(None).cast(_rule_type())))
+    opens = changes.where((F.col("op") != "d") & (F.col("after.sink_type") == sink_type)).select(
+        *at("after", 1, F.col("after")))
+    return ends.unionByName(opens)
+
+
+RULE_KEY = ["sink_type", "source_table", "source_type"]
+
+
+def last_events(events: DataFrame) -> DataFrame:
+    """The last event of each rule; within one change the opening (step 1) outranks the ending (step 0).
+
+    Endings stay, so that events that come later but were earlier do not bring a rule back. The fold may be taken in any
+    order and in parts: folding what was folded before with new events gives the same.
+    """
+    last = events.groupBy(*RULE_KEY).agg(
+        F.max_by(F.struct("seq", "pos", "step", "rule"), F.struct("seq", "pos", "step")).alias("last"))
+    return last.select(*RULE_KEY, "last.*")
+
+
+def alive(events: DataFrame) -> DataFrame:
+    """The rules that hold after folded events."""
+    return events.where(F.col("rule").isNotNull()).select("rule.*")
+
+
 def fold_rules(changes: DataFrame, sink_type: str) -> DataFrame:
     """Rules alive after all changes, for fact (``dwd``) or dimension (``dim``) sinks.
 
-    A deletion ends the rule under its old key. An update that changes the key or
-    the sink type ends the old one as well and opens the new one. The last change
-    of a key wins; the fold is one aggregate per key, combined on the map side.
+    The last change of a key wins; the fold is one aggregate per key, combined on the map side.
     """
-    keys = RULE_KEYS[sink_type]
-    ends = (
-        changes.where(F.col("before").isNotNull() & (F.col("before.sink_type") == sink_type))
-        .select(*[F.col(f"before.{k}").alias(k) for k in keys], "seq", "pos", F.lit(0).alias("step"),
-                F.lit(None).cast(_rule_type()).alias("rule"))
-    )
-    opens = (
-        changes.where((F.col("op") != "d") & (F.col("after.sink_type") == sink_type))
-        .select(*[F.col(f"after.{k}").alias(k) for k in keys], "seq", "pos", F.lit(1).alias("step"),
-                F.col("after").alias("rule"))
-    )
-    # Within one change the opening (step 1) outranks the ending (step 0).
-    last = ends.unionByName(opens).groupBy(*keys).agg(
-        F.max_by(F.struct("rule"), F.struct("seq", "pos", "step")).alias("last"))
-    return last.select("last.rule").where(F.col("rule").isNotNull()).select("rule.*")
+    return alive(last_events(rule_events(changes, sink_type)))
 
 
 def route_facts(changes: DataFrame, rules: DataFrame) -> DataFrame:
@@ -169,12 +189,28 @@ def route_fact_lines(changes: DataFrame, rules: DataFrame) -> DataFrame:
     ``changes`` comes from :func:`rillmart.operators.parse.mark_changes`. The envelope keeps all its fields
     and types; only ``data`` is cut to the listed columns, and ``sink_table`` is added.
     """
+    return route_lines(changes, rules.where("sink_type = 'dwd'")).select("sink_table", "value")
+
+
+def route_lines(changes: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per change and rule it meets, fact and dimension rules in one join.
+
+    ``changes`` comes from :func:`rillmart.operators.parse.mark_changes`. ``sink_type`` tells what the row is for: facts
+    match table and type and have ``value``, the whole record as text with ``data`` cut to the listed columns and
+    ``sink_table`` added; dimensions match the table and have ``data`` as a map of text, ``sink_pk``, ``type``, ``ts`` and ``t``.
+    """
     r = rules.select(
-        F.col("source_table").alias("_st"), F.col("source_type").alias("_sty"), "sink_table", F.col("sink_columns").alias("_cols"))
-    joined = changes.join(r, (F.col("table") == F.col("_st")) & (F.col("type") == F.col("_sty")))
-    data = F.to_variant_object(listed_only(F.col("rec")["data"].try_cast(VARIANTS), "_cols"))
-    named = put_entry(put_entry("rec", "data", data), "sink_table", F.col("sink_table").cast("variant"))
-    return joined.select("sink_table", F.to_json(named).alias("value"))
+        F.col("source_table").alias("_st"), F.col("source_type").alias("_sty"), "sink_table", "sink_type",
+        F.col("sink_columns").alias("_cols"), F.coalesce(F.col("sink_pk"), F.lit("id")).alias("sink_pk"))
+    fact = F.col("sink_type") == "dwd"
+    joined = changes.join(r, (F.col("table") == F.col("_st")) & (~fact | (F.col("type") == F.col("_sty"))))
+    listed = listed_only(F.col("rec")["data"].try_cast(VARIANTS), "_cols")
+    named = put_entry(put_entry("rec", "data", F.to_variant_object(listed)), "sink_table", F.col("sink_table").cast("variant"))
+    ts = leaf(F.col("rec")["ts"], "$", "string")
+    return joined.select(
+        "sink_type", "sink_table", F.when(fact, F.to_json(named)).alias("value"), "type", "sink_pk",
+        F.when(~fact, F.transform_values(listed, lambda k, v: leaf(v, "$"))).alias("data"), ts.alias("ts"),
+        from_epoch_s(ts).alias("t"))
 
 
 def route_dims(changes: DataFrame, rules: DataFrame) -> DataFrame:
