@@ -25,17 +25,26 @@ def repair_visitor_flag(df: DataFrame, mid: str = "mid", flag: str = "is_new",
     The first day is the day of the first row if that row says new, else the day
     before it.
     """
+    days = first_days(df, mid, flag, order, t).select(mid, "n", "first_day")
+    return with_first_days(df, days, mid, flag, order, t, hot_rows)
+
+
+def first_days(df: DataFrame, mid: str = "mid", flag: str = "is_new", order: Sequence[str] = ("ts",), t: str = "t") -> DataFrame:
+    """``mid, at, first_day, n``: where each visitor's first row is in ``order``, the day it tells, and how many rows there are."""
     said_new = F.col("_first")[flag] == "1"
     first_day = F.when(said_new, clock.day("_first._t")).otherwise(clock.yesterday("_first._t"))
-    per_mid = (
-        df.where(F.col(mid).isNotNull()).groupBy(mid)
-        .agg(F.min(F.struct(*order, F.col(t).alias("_t"), F.col(flag))).alias("_first"),
-             F.count("*").alias("_n"))
-        .select(mid, "_n", first_day.alias("_first_day"))
-    )
-    joined = join_per_key(df, per_mid, mid, "_n", "_first_day", list(order), hot_rows)
-    wrong = (F.col(flag) == "1") & (F.col("_first_day") != clock.day(t))
-    return joined.withColumn(flag, F.when(wrong, F.lit("0")).otherwise(F.col(flag))).drop("_first_day")
+    per_mid = df.where(F.col(mid).isNotNull()).groupBy(mid).agg(
+        F.min(F.struct(*order, F.col(t).alias("_t"), F.col(flag))).alias("_first"), F.count("*").alias("n"))
+    return per_mid.select(mid, F.struct(*[F.col("_first")[c].alias(c) for c in order]).alias("at"),
+                          first_day.alias("first_day"), "n")
+
+
+def with_first_days(df: DataFrame, days: DataFrame, mid: str = "mid", flag: str = "is_new", order: Sequence[str] = ("ts",),
+                    t: str = "t", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``df`` with the flag cleared where it claims a new visitor after the first day; ``days`` has ``mid, n, first_day``."""
+    joined = join_per_key(df, days, mid, "n", "first_day", list(order), hot_rows)
+    wrong = (F.col(flag) == "1") & (F.col("first_day") != clock.day(t))
+    return joined.withColumn(flag, F.when(wrong, F.lit("0")).otherwise(F.col(flag))).drop("first_day")
 
 
 def repair_log(log: DataFrame, order: Sequence[str] = ("ts",), **hot: int) -> DataFrame:

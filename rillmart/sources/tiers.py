@@ -78,6 +78,11 @@ class KeyedTable:
             return None
         return self._folded(found if where is None else found.where(where))
 
+    def read_keys(self, wanted: DataFrame) -> DataFrame | None:
+        """One row for each key of ``wanted`` that is there; only their rows are folded."""
+        found = self._rows(wanted.sparkSession, self.parts(wanted.sparkSession))
+        return None if found is None else self._folded(found.join(wanted.select(*self.keys), list(self.keys), "left_semi"))
+
     def _folded(self, rows: DataFrame) -> DataFrame:
         return (self.fold or last_of(self.keys))(rows)
 

@@ -21,14 +21,13 @@ from pyspark.sql import functions as F
 
 from ..functions.values import amount_or_zero
 from ..functions.words import words_of
-from ..operators import parse, routing
+from ..operators import parse
 from ..operators.joins import enrich, enrich_categories, enrich_sku, enrich_snowflake
 from ..operators.windows import WIDTH, total, tumble, watermarked
 from ..plans.summary import CHANNEL, PAGE_NAMES, REFUND_COLUMNS, SKU_AMOUNTS, SKU_COLUMNS, VISITS, channel_rows
-from .processors import day_firsts, retractions, visitor_flags, with_day
+from .processors import day_firsts, retractions, with_day
 
 DAY_MS = 24 * 60 * 60 * 1000
-DIRTY_KEYS = 4096
 
 
 def _one() -> Column:
@@ -39,24 +38,6 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
-def log_topics(raw: DataFrame, text: str = "value", order: Sequence[str] = ("ts",),
-               mode: str = "append") -> DataFrame:
-    """Rows ``topic, value`` of the log job; write them partitioned (or keyed) by topic.
-
-    Dirty text has no visitor; it is dealt over many keys so that it cannot pile up.
-    """
-    marked = parse.mark_log(raw, text)
-    spread = F.concat(F.lit("?"), F.pmod(F.xxhash64(text), F.lit(DIRTY_KEYS)))
-    head = with_day(marked).select(
-        *[c for c in raw.columns], F.when(F.col("ok"), F.col("mid")).otherwise(spread).alias("_mid"),
-        "is_new", F.coalesce("_day", F.lit(0)).alias("_day"),
-        F.coalesce("ts", F.lit(0)).alias("ts"), "ok")
-    fixed = visitor_flags(head, "_mid", order, mode).select(
-        *raw.columns, F.col("is_new").alias("_is_new"))
-    again = parse.mark_log(fixed, text)
-    return routing.fan_out(again.withColumn("is_new", F.col("_is_new")), text)
-
-
 def keyword_page_view(log: DataFrame, dictionary: Iterable[str] | None = None, delay_s: int = 3,
                       width: str = WIDTH) -> DataFrame:
     searches = log.where(parse.is_keyword_search()).select(F.col("page.item").alias("_item"), "t")

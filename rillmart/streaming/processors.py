@@ -1,6 +1,6 @@
 """Keyed state for streams.
 
-Three small state machines serve all keyed operators. Rows of one key in a
+Two small state machines serve the keyed operators. Rows of one key in a
 micro-batch arrive in any order and are put in order first; how many there can be is
 bounded by the source's limit per trigger, and the first-of-day operators thin
 them out before the shuffle.
@@ -68,35 +68,6 @@ class DayFirsts(StatefulProcessor):
         pass
 
 
-class VisitorFlag(StatefulProcessor):
-    """Clear ``is_new`` on days after the visitor's first one; dirty rows pass through."""
-
-    def __init__(self, columns: Sequence[str], order: Sequence[str]):
-        self.out, self.order = Row(*columns), list(order)
-        self.ok, self.flag, self.day = (list(columns).index(c) for c in ("ok", "is_new", "_day"))
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first_day", StructType([StructField("day", IntegerType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = self.first.get()[0] if self.first.exists() else None
-        if first is None:
-            rows = list(rows)
-            good = [r for r in rows if r[self.ok]]
-            if good:
-                head = min(good, key=_place(self.order))
-                first = head[self.day] - (0 if head[self.flag] == "1" else 1)
-                self.first.update((first,))
-        for row in rows:  # with the first day known, rows do not depend on each other
-            if row[self.ok] and row[self.flag] == "1" and row[self.day] != first:
-                yield self.out(*row[:self.flag], "0", *row[self.flag + 1:])
-            else:
-                yield row
-
-    def close(self) -> None:
-        pass
-
-
 class Retraction(StatefulProcessor):
     """Emit each version, and before it the version it replaces with negated amounts."""
 
@@ -134,11 +105,6 @@ def day_firsts(df: DataFrame, keys: Sequence[str], order: Sequence[str], mode: s
         DayFirsts(df.columns, order, ttl_ms), out, mode, "None" if ttl_ms is None else "ProcessingTime")
 
 
-def visitor_flags(df: DataFrame, key: str, order: Sequence[str], mode: str = "append") -> DataFrame:
-    """``df`` needs ``ok, is_new, _day``."""
-    return df.groupBy(key).transformWithState(VisitorFlag(df.columns, order), df.schema, mode, "None")
-
-
 def retractions(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str],
                 mode: str = "append") -> DataFrame:
     """``df`` has text and bigint columns only; amounts are never null."""

@@ -143,16 +143,49 @@ def test_order_detail_stream(spark, sf, tmp_path):
     assert want and have == want
 
 
+def run_log(spark, src, tmp, order, by="event_id", files=3, **how):
+    from rillmart.sources.sinks import start_batches
+    from rillmart.streaming.visitors import log_batches
+    write = log_batches(str(tmp / "days"), str(tmp / "out"), order, **how)
+    q = start_batches(as_stream(src, tmp / "in", by, files), write, str(tmp / "c"), "append", once=True)
+    assert q.awaitTermination(300) and q.exception() is None
+    assert len(q.recentProgress) >= files and not any(p["stateOperators"] for p in q.recentProgress)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == src.count()       # every record is read once
+    return write, lambda: spark.read.option("basePath", str(tmp / "out")).text(str(tmp / "out")).select("topic", "value")
+
+
 def test_log_topics_stream(spark, sf, tmp_path):
     from rillmart.plans import ingest
-    from rillmart.sources.sinks import start_append
     src = feeds.log_text(spark, sf)
-    live = jobs.log_topics(as_stream(src, tmp_path / "in", "event_id"), order=["ts", "event_id"])
-    q = start_append(live, str(tmp_path / "out"), str(tmp_path / "c"), by="topic", fmt="text", once=True)
-    q.awaitTermination(300)
-    assert q.exception() is None
-    got = spark.read.text(str(tmp_path / "out"))
-    assert rows(got) == rows(ingest.log_topics(src, order=["ts", "event_id"]))
+    _, got = run_log(spark, src, tmp_path, ["ts", "event_id"])
+    assert rows(got()) == rows(ingest.log_topics(src, order=["ts", "event_id"]))
+
+
+def test_log_topics_with_a_third_of_all_rows_on_one_visitor(spark, tmp_path):
+    """Heavy visitors are dealt out; flags over several days and micro-batches, a repeat, and a new run."""
+    import json
+
+    from rillmart.plans import ingest
+    from rillmart.streaming.visitors import first_day_table, log_batches
+    day = 86_400_000
+
+    def text(i):
+        mid = "hot" if i % 3 == 0 else f"m{i % 11}"
+        return json.dumps({"common": {"mid": mid, "is_new": "1" if i % 4 else "0", "os": "x"}, "page": {"page_id": "p", "n": i}, "ts": 10 * day + i * day // 150})
+
+    src = spark.createDataFrame([(i, text(i) if i % 50 else "{broken") for i in range(600)], "n long, value string")
+    order = ["ts", "n"]
+    write, got = run_log(spark, src, tmp_path, order, "n", 4, hot_rows=50)
+    want = rows(ingest.log_topics(src, order=order))
+    assert rows(got()) == want and any('"is_new":"0"' in v for _, v in want)
+    days = first_day_table(str(tmp_path / "days"))
+    assert days.read(spark).count() == 12 and {p.tier for p in days.parts(spark)} == {0}
+    write(src.where("n > 449"), 3)                                               # as the last micro-batch again
+    assert rows(got()) == want and days.read(spark).count() == 12
+    again = log_batches(str(tmp_path / "days"), str(tmp_path / "out2"), order, run=1)
+    again(src.where("n > 449"), 0)
+    late = spark.read.option("basePath", str(tmp_path / "out2")).text(str(tmp_path / "out2"))
+    assert not [v for v in (r.value for r in late.where("topic like '%page%'").collect()) if '"is_new":"1"' in v]
 
 
 def test_lateness_refreshes_a_window(spark, tmp_path):
