@@ -48,7 +48,7 @@ def test_user_login(spark, sf, tmp_path):
 
 def test_channel_page_view_with_late_rows(spark, sf, tmp_path):
     src = log(spark, sf)
-    live = jobs.channel_page_view(as_stream(src, tmp_path / "in", "ts"), ttl_ms=None, width="1 hour")
+    live = jobs.channel_page_view(as_stream(src, tmp_path / "in", "ts"), width="1 hour")
     same(live, summary.channel_page_view(src, width="1 hour"), tmp_path, [*WINDOW, *summary.CHANNEL])
 
 
@@ -114,6 +114,136 @@ def test_late_retraction_is_dropped(spark, tmp_path):
     assert dropped == 1
 
 
+class Store:
+    """What a processor asks of its state, held in dicts."""
+
+    def __init__(self):
+        self.values, self.maps, self.timers, self.read = {}, {}, set(), 0
+
+    def getValueState(self, name, schema, ttl=None):
+        store = self
+
+        class Value:
+            exists = staticmethod(lambda: name in store.values)
+            get = staticmethod(lambda: store.values[name])
+            update = staticmethod(lambda v: store.values.__setitem__(name, tuple(v)))
+            clear = staticmethod(lambda: store.values.pop(name, None))
+        return Value
+
+    def getMapState(self, name, key, value, ttl=None):
+        store = self
+        held = store.maps.setdefault(name, {})
+
+        def fetch(k):
+            store.read += 1
+            return held[k]
+
+        class Map:
+            containsKey = staticmethod(lambda k: k in held)
+            getValue = staticmethod(fetch)
+            updateValue = staticmethod(lambda k, v: held.__setitem__(k, tuple(v)))
+            clear = staticmethod(held.clear)
+        return Map
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+def test_days_are_kept_as_bits_of_words():
+    """Days in any order, before 1970 too, over many calls: as a set of all days would tell, with a 64th of its entries."""
+    import random
+
+    from rillmart.streaming.processors import NO_GAP, DayFirsts
+    made = random.Random(5)
+    days = [made.randint(-300, 700) for _ in range(1500)]
+    machine, store, known, entry = DayFirsts(["_day", "n"], ["n"], gaps=True), Store(), set(), Row("_day", "n")
+    machine.init(store)
+    at = 0
+    while at < len(days):
+        size = made.randint(1, 30)
+        part = [(d, at + i) for i, d in enumerate(days[at: at + size])]
+        want = []
+        for d, n in part:
+            if d not in known:
+                want.append((d, n, int(not known), min((d - k for k in known if k < d), default=NO_GAP)))
+                known.add(d)
+        given = [entry(*p) for p in part]
+        made.shuffle(given)
+        assert [tuple(r) for r in machine.handleInputRows(None, iter(given), None)] == want
+        at += size
+    held = store.maps["words"]
+    assert len(known) > 500 and len(held) == len({d // 64 for d in known}) <= 17
+    assert {w * 64 + b for (w,), (bits,) in held.items() for b in range(64) if bits >> b & 1} == known
+    store.read = 0
+    assert list(machine.handleInputRows(None, iter([entry(days[0], 9999)]), None)) == [] and store.read == 1
+
+
+def test_user_login_over_several_words(spark, tmp_path):
+    """Logins up to two years apart, micro-batches not in order of days, against the batch."""
+    day = 86_400
+    logins = [(f"u{i % 7}", (i * 37 % 701) * day + i) for i in range(300)]
+    src = spark.createDataFrame(logins, "uid string, s long").select(
+        F.struct("uid").alias("common"), F.struct(F.lit(None).cast("string").alias("last_page_id")).alias("page"),
+        "s", F.timestamp_seconds("s").alias("t"))
+    live = jobs.user_login(as_stream(src, tmp_path / "in", "s", 4), mode="update")
+    same(live, summary.user_login(src), tmp_path, WINDOW)
+
+
+def far_row(src, path, **values):
+    """One more file with a single row a year later, so that the watermark passes all others."""
+    row = src.limit(1).withColumn("t", F.timestamp_seconds(F.lit(4_000_000_000)))
+    for c, v in values.items():
+        row = row.withColumn(c, F.lit(v).cast(src.schema[c].dataType))
+    row.coalesce(1).write.mode("append").parquet(str(path))
+
+
+def test_state_ends_behind_the_watermark(spark, sf, tmp_path):
+    """Retractions and orders counted once: results as before, and only the last row's state is left."""
+    src, dims = feeds.line_versions(spark, sf), feeds.dimensions(spark, sf)
+    want = {"sku": summary.sku_orders(src, dims, width="1 hour"),
+            "province": summary.province_orders(src, dims["province"], ["t", "seq", "id"], width="1 hour")}
+    for name, keys in (("sku", [*WINDOW, "sku_id"]), ("province", [*WINDOW, "province_id"])):
+        left = {}
+        for keep in (3600, None):
+            live = as_stream(src, tmp_path / f"{name}{keep}", "ts")
+            far_row(src, tmp_path / f"{name}{keep}", id="far", order_id="far", ts=4_000_000_000)
+            far_row(src, tmp_path / f"{name}{keep}", id="far", order_id="far", ts=4_000_000_001)
+            out = (jobs.sku_orders(live, dims, delay_s=3600, width="1 hour", keep_s=keep) if name == "sku" else
+                   jobs.province_orders(live, dims["province"], delay_s=3600, width="1 hour", keep_s=keep))
+            got, q = run_keyed(out, tmp_path / f"{name}{keep}out", keys)
+            assert rows(got.where("stt < '2050'"), want[name].columns) == rows(want[name])
+            left[keep] = [s["numRowsTotal"] for s in q.recentProgress[-1]["stateOperators"] if s["operatorName"].startswith("transformWithState")]
+        assert left[3600] and max(left[3600]) < 10 < min(left[None])
+
+
+def test_visitor_state_ends_a_day_after(spark, sf, tmp_path):
+    src, left = log(spark, sf), {}
+    for keep in (86_400 * 2, None):
+        live = as_stream(src, tmp_path / f"in{keep}", "ts")
+        far_row(src, tmp_path / f"in{keep}", ts=4_000_000_000_000)
+        far_row(src, tmp_path / f"in{keep}", ts=4_000_000_000_001)
+        out = jobs.channel_page_view(live, width="1 hour", keep_s=keep)
+        got, q = run_keyed(out, tmp_path / f"out{keep}", [*WINDOW, *summary.CHANNEL])
+        want = summary.channel_page_view(src, width="1 hour")
+        assert rows(got.where("stt < '2050'"), want.columns) == rows(want)
+        left[keep] = [s["numRowsTotal"] for s in q.recentProgress[-1]["stateOperators"] if s["operatorName"].startswith("transformWithState")]
+    assert left[86_400 * 2] and max(left[86_400 * 2]) < 10 < min(left[None]), left
+
+
+def test_distinct_refunds_forget_orders(spark, tmp_path):
+    """Repeats within a window count once, also in later micro-batches; a null order counts nothing; closed windows hold no orders."""
+    made = [(i % 5 and f"o{i % 13}", f"u{i % 2}", "1", i) for i in range(200)] + [("end", "u", "1", 10_000), ("end", "u", "1", 10_001)]
+    src = spark.createDataFrame([(o or None, u, s, n) for o, u, s, n in made], "order_id string, user_id string, sku_id string, s long").withColumn(
+        "t", F.timestamp_seconds("s"))
+    dims = feeds.dimensions(spark, "/root/testdata/sf0.001")
+    got, q = run_keyed(jobs.refund_users(as_stream(src, tmp_path / "in", "s", 5), dims, width="40 seconds"), tmp_path,
+                       [*WINDOW, "trademark_id", "category3_id", "user_id"])
+    want = summary.refund_users(src, dims, width="40 seconds")
+    assert rows(got, want.columns) == rows(want)
+    held = {s["operatorName"]: s["numRowsTotal"] for s in q.recentProgress[-1]["stateOperators"]}
+    assert held["dedupe"] <= 1 and len(held) == 2
+
+
 def test_order_detail_stream(spark, sf, tmp_path):
     """Inner and left joins with bounds: all rows whose partners can no longer come."""
     cdc = feeds.cdc_frame(spark, sf).withColumn("s", F.col("ts").cast("long"))
