@@ -368,14 +368,33 @@ def order_detail_upsert(spark, sf):
 
 # --- words -----------------------------------------------------------------
 
+def _han(c):
+    return F.translate(F.lower(c), feeds.LETTERS, feeds.HAN)
+
+
+def _han_titles(spark, sf):
+    return feeds.table(spark, sf, "part").select("p_partkey", _han(F.col("p_name")).alias("title"))
+
+
+def _pieces(df, column, places, sizes):
+    return df.select(F.explode(F.array(*[
+        _han(F.substring(column, at, size)) for at in places for size in sizes])).alias("word"))
+
+
 @query
 def keyword_tokens_listed(spark, sf):
-    """Titles in Han characters, a letter each, cut by a word list out of the nations' names."""
-    han = lambda c: F.translate(F.lower(c), feeds.LETTERS, feeds.HAN)
-    names = feeds.table(spark, sf, "nation").select(F.explode(F.array(*[
-        han(F.substring("n_name", at, size)) for at in (1, 2, 3) for size in (2, 3)])).alias("word"))
-    titles = feeds.table(spark, sf, "part").select("p_partkey", han(F.col("p_name")).alias("title"))
-    return words.words_of(titles, "title", dictionary=names).select("p_partkey", "word")
+    """Titles in Han characters, a letter each, cut by a word list out of the nations' names, the longest word first."""
+    names = _pieces(feeds.table(spark, sf, "nation"), "n_name", (1, 2, 3), (2, 3))
+    return words.words_of(_han_titles(spark, sf), "title", dictionary=names, mode="longest").select("p_partkey", "word")
+
+
+@query
+def keyword_tokens_smart(spark, sf):
+    """The same titles, cut to cover most characters by fewest words; the list has words that overlap, out of brands' and nations' names."""
+    parts = _pieces(feeds.table(spark, sf, "part").where("p_partkey % 5 = 1").select(
+        F.regexp_replace("p_name", "[^A-Za-z]", "").alias("name")), "name", (1, 2, 4, 7), (2, 3, 5))
+    listed = parts.unionAll(_pieces(feeds.table(spark, sf, "nation"), "n_name", (1, 2, 3), (2, 3, 4))).distinct()
+    return words.words_of(_han_titles(spark, sf), "title", dictionary=listed).select("p_partkey", "word")
 
 
 @query

@@ -409,6 +409,27 @@ SQL: dict[str, str] = {
           SELECT c.run, c.pos + coalesce(f.size, 1), substr(c.run, c.pos, coalesce(f.size, 1))
           FROM cut c LEFT JOIN found f ON c.run = f.run AND c.pos = f.pos WHERE c.pos <= len(c.run))
         SELECT p_partkey, word FROM runs JOIN cut USING (run) WHERE word IS NOT NULL""",
+    "keyword_tokens_smart": f"""WITH RECURSIVE listed AS (
+          SELECT DISTINCT w FROM (
+            SELECT {HAN.format(c='substr(n_name, a, n)')} AS w FROM nation, (VALUES (1), (2), (3)) AS p(a), (VALUES (2), (3), (4)) AS q(n)
+            UNION ALL SELECT {HAN.format(c="substr(regexp_replace(p_name, '[^A-Za-z]', '', 'g'), a, n)")}
+            FROM part, (VALUES (1), (2), (4), (7)) AS p(a), (VALUES (2), (3), (5)) AS q(n) WHERE p_partkey % 5 = 1) WHERE len(w) > 1),
+        runs AS (SELECT p_partkey, k, unnest(regexp_extract_all({HAN.format(c='p_name')}, '[\\x{{4E00}}-\\x{{4E19}}]+')) AS run
+          FROM (SELECT p_partkey, p_name, row_number() OVER () AS k FROM part)),
+        tried AS (SELECT run, pos, n, substr(run, pos, n) AS w FROM (SELECT DISTINCT run FROM runs), generate_series(1, 40) AS g(pos), generate_series(2, 5) AS h(n)
+          WHERE pos + n <= len(run) + 1),
+        fit AS (SELECT run, pos, list(n) AS sizes FROM tried SEMI JOIN listed USING (w) GROUP BY run, pos),
+        best AS (
+          SELECT run, len(run) + 1 AS pos, [{{'covered': 0, 'less': 0, 'size': 0}}] AS b FROM (SELECT DISTINCT run FROM runs)
+          UNION ALL
+          SELECT d.run, d.pos - 1, list_prepend(list_max(list_transform(list_append(coalesce(f.sizes, []), 1), lambda s: {{
+            'covered': (b[s].covered + CASE WHEN s > 1 THEN s ELSE 0 END)::INTEGER, 'less': (b[s].less - 1)::INTEGER, 'size': s::INTEGER}})), b)
+          FROM best d LEFT JOIN fit f ON d.run = f.run AND f.pos = d.pos - 1 WHERE d.pos > 1),
+        cut AS (
+          SELECT run, 1 AS pos, CAST(NULL AS VARCHAR) AS word, list_transform(b, lambda x: x.size) AS pick FROM best WHERE pos = 1
+          UNION ALL
+          SELECT run, (pos + pick[pos])::INTEGER, substr(run, pos, pick[pos]), pick FROM cut WHERE pos <= len(run))
+        SELECT p_partkey, word FROM runs JOIN cut USING (run) WHERE word IS NOT NULL""",
     "keyword_tokens_name": f"SELECT p_partkey, unnest({TOKENS.format(text='p_name')}) AS word FROM part",
     "keyword_window": f"""WITH {VISITS}, w AS (SELECT t, unnest({TOKENS.format(text='item')}) AS keyword
         FROM visits WHERE item IS NOT NULL AND last_page_id = 'search' AND item_type = 'keyword')

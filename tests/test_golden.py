@@ -364,6 +364,38 @@ def test_words(spark):
     assert sorted(by_row) == sorted(w for w in cut if not w.isascii())
 
 
+def test_smart_cut_where_the_longest_word_first_is_wrong(spark):
+    """Most characters covered, then fewest words, then the longest first word; both forms against all ways to cut."""
+    import random
+    listed = ["研究", "研究生", "生命", "命", "起源", "甲乙", "乙丙丁", "丙丁", "丁戊", "子丑寅", "子丑", "丑寅卯", "寅卯"]
+    df = spark.createDataFrame([("研究生命起源",), ("甲乙丙丁戊",), ("子丑寅卯",)], "x string")
+    assert one(words.words_of(df, "x", dictionary=listed, mode="longest"), "word").count("命") == 1
+    assert best_cut("研究生命起源", listed) == ["研究", "生命", "起源"] and best_cut("甲乙丙丁戊", listed) == ["甲乙", "丙丁", "戊"]
+    assert best_cut("子丑寅卯", listed) == ["子丑", "寅卯"]
+    assert sorted(one(words.words_of(df, "x", dictionary=listed), "word")) == sorted(
+        w for run in ("研究生命起源", "甲乙丙丁戊", "子丑寅卯") for w in best_cut(run, listed))
+    made = random.Random(2)
+    pool = ["".join(made.choice("甲乙丙") for _ in range(made.randint(2, 4))) for _ in range(12)]
+    texts = ["".join(made.choice("甲乙丙丁") for _ in range(made.randint(1, 9))) for _ in range(60)]
+    want = sorted(w for t in texts for w in best_cut(t, pool))
+    many = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert sorted(one(words.words_of(many, "x", dictionary=pool), "word")) == want
+    by_row = many.select(words.han_cutter(pool)(words.han_runs("x")).alias("w")).collect()
+    assert sorted(w for r in by_row for w in r.w) == want
+
+
+def best_cut(run, listed):
+    """The best of all ways to cut a run, tried one by one."""
+    def ways(rest):
+        if not rest:
+            yield []
+        for n in range(1, len(rest) + 1):
+            if n == 1 or rest[:n] in listed:
+                for tail in ways(rest[n:]):
+                    yield [rest[:n], *tail]
+    return max(ways(run), key=lambda w: (sum(len(x) for x in w if len(x) > 1), -len(w), [len(x) for x in w]))
+
+
 def test_json_edits(spark):
     df = spark.createDataFrame([("x", 1)], "a string, b int").select(F.struct("a", "b").alias("r"))
     assert one(df.select(payload.text_of(payload.remove("r", "b")))) == ['{"a":"x"}']
