@@ -27,7 +27,9 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -184,11 +186,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows
 
 
+def is_marked(marks: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Which of ``spots`` are set in a bitmap of packed bytes."""
+    return (marks[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1 > 0
+
+
 def _candidates(k: int, wanted, parts: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows whose ``spot`` is marked in the bitmap ``wanted``: class, size, and histogram or parts of the set."""
-    marked = np.unpackbits(wanted.value, bitorder="little")
     for batch in batches:
-        batch = batch.filter(pa.array(marked[batch.column("spot").to_numpy()] > 0))
+        batch = batch.filter(pa.array(is_marked(wanted.value, batch.column("spot").to_numpy())))
         sets = [s for s in sets_of(batch.column("text").to_pylist(), k) if len(s)]
         bins = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BINS) for s in sets]
         if parts:
@@ -274,6 +280,18 @@ def bitmap(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
     return out
 
 
+def marked_spots(rows: DataFrame, *key: str) -> tuple[int, Broadcast]:
+    """(bits, bitmap) of the hashes of ``key`` in ``rows``: 64 bits for a row, at most ``MOST_BITS``."""
+    bits = PAGE
+    while bits < min(MOST_BITS, 64 * rows.count()):
+        bits *= 2
+    return bits, rows.sparkSession.sparkContext.broadcast(bitmap(rows, spot_of(bits, *key), bits))
+
+
+def spot_of(bits: int, *key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(bits))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, sign, is_first) of every row: groups of texts linked by similarity.
 
@@ -305,19 +323,29 @@ def jaccard_components(docs: DataFrame, k: int = 5, least: int = 80) -> DataFram
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, least: int = 80) -> DataFrame:
     """``docs`` with one row of each group of linked texts: that of smallest doc_id (nulls last, ties by
-    a hash of the text; of equal rows any). Rows without a word are in no group and stay."""
-    key = ["__sign", "__id", "__no_id"]
+    a hash of the text; of equal rows any). Rows without a word are in no group and stay. All columns are kept, whatever
+    their names. Rows that a bitmap shows to be in no group stay where they are; only the others' texts are shuffled.
+    """
+    key = ["sign", "id", "no_id"]
+
+    def keyed(sign: Column, *more: Column | str) -> list[Column | str]:
+        return [sign.alias("sign"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), *more]
+
+    rows = jaccard_components(docs, k, least).filter(F.col("n_shingles") > 0).select(*keyed(F.col("sign"), "is_first"))
+    marks = checkpointed(rows.groupBy(*key).agg(F.count("*").alias("times"), F.min("is_first").alias("first")).filter(
+        ~F.col("first") | (F.col("times") > 1)), few=True)
+    bits, marked = marked_spots(marks, *key)
 
-    def keyed(rows: DataFrame, sign: Column) -> DataFrame:
-        return rows.withColumn("__sign", sign).withColumn("__no_id", F.col("doc_id").isNull()).withColumn(
-            "__id", F.coalesce("doc_id", F.lit(0)))
+    @F.pandas_udf("boolean")
+    def may_go(spot: pd.Series) -> pd.Series:
+        return pd.Series(is_marked(marked.value, spot.to_numpy()))
 
-    rows = keyed(jaccard_components(docs, k, least).filter(F.col("n_shingles") > 0), F.col("sign"))
-    marks = rows.groupBy(*key).agg(F.count("*").alias("__times"), F.min("is_first").alias("__first")).filter(
-        ~F.col("__first") | (F.col("__times") > 1))
-    kept = keyed(docs, F.xxhash64("text")).join(marks, key, "left").filter(F.coalesce("__first", F.lit(True)))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    placed = docs.select(*keyed(F.xxhash64("text"), whole)).withColumn("doubt", may_go(spot_of(bits, *key)))
+    doubtful = placed.filter("doubt").join(marks, key, "left").filter(F.coalesce("first", F.lit(True)))
     again = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
-    return kept.withColumn("__again", again).filter(F.col("__times").isNull() | (F.col("__again") == 1)).select(*docs.columns)
+    judged = doubtful.withColumn("again", again).filter(F.col("times").isNull() | (F.col("again") == 1))
+    return placed.filter("not doubt").select("whole").unionByName(judged.select("whole")).select("whole.*")
 
 
 def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -> DataFrame:
@@ -332,14 +360,9 @@ def class_components(texts: DataFrame, members: DataFrame, k: int, least: int) -
     chosen = checkpointed(first.select("class", F.col("first.doc_id").alias("first_id"), F.col("first.sign").alias("sign")), few=True)
 
     def sets(classes: DataFrame, parts: bool) -> DataFrame:
-        rows = chosen.join(classes, "class", "left_semi")
-        bits = PAGE
-        while bits < min(MOST_BITS, 64 * rows.count()):
-            bits *= 2
-        spot = lambda name: F.pmod(F.xxhash64(name, "sign"), F.lit(bits))
-        marked = texts.sparkSession.sparkContext.broadcast(bitmap(rows, spot("first_id"), bits))
+        bits, marked = marked_spots(chosen.join(classes, "class", "left_semi"), "first_id", "sign")
         last = "parts array<array<long>>" if parts else "bins array<short>"
-        found = texts.select(spot("doc_id").alias("spot"), "text").mapInArrow(
+        found = texts.select(spot_of(bits, "doc_id", "sign").alias("spot"), "text").mapInArrow(
             lambda it: _candidates(k, marked, parts, it), f"class long, n long, {last}")
         return found.repartition(spread, "class").join(classes, "class", "left_semi").dropDuplicates(["class"])
 
