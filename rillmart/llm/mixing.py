@@ -158,12 +158,11 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
 
 
 def take_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: str = "mix") -> DataFrame:
-    """The mix itself: every row of ``docs``, with all its columns, as many times as it is taken.
+    """The mix itself: every row of ``docs``, with all its columns, whatever their names, as many times as it is taken.
 
     Rows of equal doc_id and text share their copies: together they come as often as they were taken.
     """
-    signed = docs.withColumn("__sign", row_sign(seed))
-    once = mix_sources(docs, weights, most, seed).filter(F.col("copies") > 0).groupBy(F.col("sign").alias("__sign")).agg(
-        F.sum("copies").alias("__copies"))
-    return signed.join(once, "__sign").dropDuplicates(["__sign"]).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    signed = docs.select(row_sign(seed).alias("sign"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    once = mix_sources(docs, weights, most, seed).filter(F.col("copies") > 0).groupBy("sign").agg(F.sum("copies").alias("copies"))
+    return signed.join(once, "sign").dropDuplicates(["sign"]).select(
+        "whole", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("whole.*")

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .words import BASE, mix, word_hashes
 
@@ -131,3 +132,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: tuple[str
                              f"__row {rows.schema['__row'].dataType.simpleString()}, {text}score double")
     return scored.select(*(F.col("__text").alias(c) if carry_text and c == "text" else F.col("__row")[c].alias(c)
                            for c in keep if c != "score"), "score")
+
+
+def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score less than ``below``, with all their columns, whatever their names."""
+    weights = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("__row"),
+                       F.col("text").cast("binary").alias("__text"))
+    fields = [rows.schema["__row"], T.StructField("__text", T.StringType()), T.StructField("score", T.DoubleType())]
+    scored = rows.mapInArrow(lambda it: _score(weights, True, it), T.StructType(fields)).filter(F.col("score") < below)
+    return scored.select(*(F.col("__text").alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns))
