@@ -26,8 +26,7 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity is below 0.5, learnt from ``labels`` and the texts that are there."""
     ready(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.train(docs, labels), tuple(docs.columns), carry_text=True)
-    return scored.filter(F.col("score") < 0.5).select(*docs.columns)
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels), 0.5)
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
