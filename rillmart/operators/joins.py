@@ -100,20 +100,54 @@ def enrich_sku(df: DataFrame, dims: Mapping[str, DataFrame], key: str = "sku_id"
 
 
 def enrich_categories(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Trademark name and the three category levels, each found through the one below."""
+    """Trademark name and the three category levels, whose chain is joined before it meets ``df``."""
     out = enrich(df, dims["trademark"], "trademark_id", {"tm_name": "trademark_name"})
-    out = enrich(out, dims["category3"], "category3_id",
-                 {"name": "category3_name", "category2_id": "category2_id"})
-    out = enrich(out, dims["category2"], "category2_id",
-                 {"name": "category2_name", "category1_id": "category1_id"})
+    return enrich(out, flat_categories(dims), "category3_id", {c: c for c in CATEGORIES})
+
+
+CATEGORIES = ("category3_name", "category2_id", "category2_name", "category1_id", "category1_name")
+FLAT = ("sku_name", "spu_id", "trademark_id", "category3_id", "spu_name", "trademark_name", *CATEGORIES)
+
+#: What each level points to: (column, level).
+PARENTS = {"sku": (("spu_id", "spu"), ("tm_id", "trademark"), ("category3_id", "category3")),
+           "category3": (("category2_id", "category2"),), "category2": (("category1_id", "category1"),)}
+
+
+def flat_categories(dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``id`` of each third-level category with its name and the levels above; what is missing above is null."""
+    third = dims["category3"].select("id", F.col("name").alias("category3_name"), "category2_id")
+    out = enrich(third, dims["category2"], "category2_id", {"name": "category2_name", "category1_id": "category1_id"})
     return enrich(out, dims["category1"], "category1_id", {"name": "category1_name"})
 
 
+def flat_skus(dims: Mapping[str, DataFrame], only: DataFrame | None = None) -> DataFrame:
+    """``id`` of each sku with the columns of its whole snowflake; ``only`` has the ids asked for."""
+    sku = dims["sku"] if only is None else dims["sku"].join(only.select("id"), "id", "left_semi")
+    own = sku.select("id", "sku_name", "spu_id", F.col("tm_id").alias("trademark_id"), "category3_id")
+    out = enrich(own, dims["spu"], "spu_id", {"spu_name": "spu_name"})
+    return enrich_categories(out, dims).select("id", *FLAT)
+
+
+def touched(dims: Mapping[str, DataFrame], changed: Mapping[str, DataFrame], level: str = "sku") -> DataFrame | None:
+    """Distinct ``id`` of a level's rows that ``changed`` (ids by level) holds, or that hang below such rows; None if there can be none."""
+    found = changed[level].select("id") if level in changed else None
+    for column, parent in PARENTS.get(level, ()):
+        above = touched(dims, changed, parent)
+        if above is not None:
+            ids = above.select(F.col("id").alias("_above"))
+            below = dims[level].join(ids, F.col(column) == F.col("_above"), "left_semi").select("id")
+            found = below if found is None else found.union(below)
+    return None if found is None else found.distinct()
+
+
 def enrich_snowflake(df: DataFrame, dims: Mapping[str, DataFrame], key: str = "sku_id") -> DataFrame:
-    """sku -> spu, trademark, category 3 -> 2 -> 1."""
-    out = enrich_sku(df, dims, key)
-    out = enrich(out, dims["spu"], "spu_id", {"spu_name": "spu_name"})
-    return enrich_categories(out, dims)
+    """sku -> spu, trademark, category 3 -> 2 -> 1, in a single join with the flattened dimension.
+
+    That is ``dims["flat"]`` where the caller keeps one (see :func:`..sources.flat.keep_flat`), or made from the others,
+    which are joined with each other only.
+    """
+    flat = dims["flat"] if "flat" in dims else flat_skus(dims)
+    return enrich(df, flat, key, {c: c for c in FLAT})
 
 
 def by_key(dim: DataFrame, matches: Sequence[tuple[str, str]] | str) -> DataFrame:

@@ -75,17 +75,14 @@ def user_day_measures(df: DataFrame, user: str, unique: str, new: str, t: str =
     unique is still reported. Windows and user days come out of one pass over
     the input, as two grouping sets of one aggregate.
     """
-    both = (
-        df.select(F.col(user).alias("_u"), clock.day(t).alias("_day"),
-                  F.window(t, width)["start"].alias("_w"), F.col(t).alias("_t"))
-        .groupingSets([["_w"], ["_u", "_day"]], "_w", "_u", "_day")
-        .agg(F.grouping("_w").alias("_by_user"), F.min("_t").alias(t))
-    )
-    zero = F.lit(0).cast("bigint")
-    earlier = F.lag("_day").over(Window.partitionBy("_u").orderBy("_day"))
-    flagged = both.where((F.col("_by_user") == 1) & F.col("_u").isNotNull()).select(
-        t, F.lit(1).cast("bigint").alias(unique), earlier.isNull().cast("bigint").alias(new))
-    return both.where("_by_user = 0").select(t, zero.alias(unique), zero.alias(new)).unionByName(flagged)
+    cut = df.select(F.col(user).alias("_u"), clock.day(t).alias("_day"), F.window(t, width)["start"].alias("_w"), F.col(t).alias("_t"))
+    both = cut.groupingSets([["_w"], ["_u", "_day"]], "_w", "_u", "_day").agg(
+        (F.grouping("_w") == 1).alias("_by_user"), F.min("_t").alias(t)).where(~F.col("_by_user") | F.col("_u").isNotNull())
+    # A row of a window has no user; its window keeps such rows apart.
+    earlier = F.lag("_day").over(Window.partitionBy("_u", "_w").orderBy("_day"))
+    return both.withColumn("_earlier", earlier).select(
+        t, F.col("_by_user").cast("bigint").alias(unique),
+        (F.col("_by_user") & F.col("_earlier").isNull()).cast("bigint").alias(new))
 
 
 def page_first_visits(df: DataFrame, mid: str, page: str, names: Mapping[str, str],
@@ -150,17 +147,35 @@ def retract_changelog(df: DataFrame, key: str, order: Sequence[str], amounts: Se
     return paired.select(F.explode(F.array_compact(sides)).alias("_e")).select("_e.*")
 
 
-def net_measures(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str],
-                 keep: Sequence[str], t: str = "t") -> DataFrame:
-    """What the changelog sums up to: zero for every version, the amounts for the last.
+def net_measures(df: DataFrame, key: str, order: Sequence[str], amounts: Sequence[str], keep: Sequence[str], t: str = "t",
+                 width: str = "10 seconds", once: str | None = None, out: str = "once") -> DataFrame:
+    """Rows ``t, keep, amounts`` to be summed per window and ``keep`` columns: what the changelog sums up to.
 
-    Equal to summing :func:`retract_changelog` per window and ``keep`` columns, but
-    made of one aggregate per key instead of a sequence.
+    That is zero for every window that has a version, and the amounts of each key's last version. Equal to summing
+    :func:`retract_changelog`, but no key is put in sequence. With ``once``, column ``out`` has 1 in one more row per value
+    of that column, where it was first seen, and 0 elsewhere.
+
+    All of it comes out of one pass over the input, as grouping sets of one aggregate with a map-side combine.
     """
-    zeros = df.select(t, *keep, *[F.lit(0).cast(df.schema[a].dataType).alias(a) for a in amounts])
-    last = df.groupBy(key).agg(
-        F.max_by(F.struct(t, *keep, *amounts), F.struct(*order)).alias("_last"))
-    return zeros.unionByName(last.select("_last.*").fillna(0, subset=list(amounts)))
+    zeros = {a: F.lit(0).cast(df.schema[a].dataType) for a in amounts}
+    groups = {f"_g{i}": F.col(c) for i, c in enumerate(keep)}
+    sets = [["_w", *groups], ["_key"]] + ([["_once"]] if once else [])
+    cut = df.select(
+        F.window(t, width)["start"].alias("_w"), *[c.alias(n) for n, c in groups.items()], F.col(key).alias("_key"),
+        *([F.col(once).alias("_once")] if once else []), F.struct(*order).alias("_at"),
+        F.struct(F.col(t), *keep, *[F.coalesce(a, z).alias(a) for a, z in zeros.items()]).alias("_row"))
+    first = [F.min_by(F.struct(f"_row.{t}", *[f"_row.{c}" for c in keep]), "_at").alias("_first")] if once else []
+    found = cut.groupingSets(sets, "_w", *groups, "_key", *(["_once"] if once else [])).agg(
+        F.grouping("_w").alias("_no_window"), F.grouping("_key").alias("_no_key"), F.max_by("_row", "_at").alias("_last"), *first)
+    one_of = F.when(F.col("_no_window") == 0, F.struct(
+        F.col("_w").alias(t), *[F.col(g).alias(c) for g, c in zip(groups, keep, strict=True)], *[z.alias(a) for a, z in zeros.items()]))
+    one_of = one_of.when(F.col("_no_key") == 0, F.col("_last"))
+    if not once:
+        return found.select(one_of.alias("_m")).select("_m.*")
+    one_of = one_of.otherwise(F.struct(
+        f"_first.{t}", *[f"_first.{c}" for c in keep], *[z.alias(a) for a, z in zeros.items()]))
+    seen = ((F.col("_no_window") == 1) & (F.col("_no_key") == 1)).cast("bigint")
+    return found.select(one_of.alias("_m"), seen.alias(out)).select("_m.*", out)
 
 
 def count_once(df: DataFrame, key: str, order: Sequence[str], out: str,

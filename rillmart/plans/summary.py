@@ -101,11 +101,8 @@ def province_orders(details: DataFrame, province: DataFrame, order: Iterable[str
     rows = details.select(
         "id", "order_id", "province_id", amount_or_zero("split_total_amount").alias("order_amount"),
         *dict.fromkeys(["t", *order]))
-    amounts = keyed.net_measures(rows, "id", order, ["order_amount"], ["province_id"])
-    orders = keyed.count_once(rows, "order_id", order, "order_count", ["province_id"])
-    zero = F.lit(0).cast("bigint")
-    measures = amounts.withColumn("order_count", zero).unionByName(
-        orders.withColumn("order_amount", F.lit(0).cast("decimal(16,2)")))
+    measures = keyed.net_measures(rows, "id", order, ["order_amount"], ["province_id"], width=width,
+                                  once="order_id", out="order_count")
     per_window = tumble(measures, total("order_count", "order_amount"), ["province_id"], width=width)
     named = enrich(per_window, province, "province_id", {"name": "province_name"}, default="")
     return named.select("stt", "edt", "province_id", "province_name", "order_count", "order_amount")
@@ -118,7 +115,7 @@ def sku_orders(details: DataFrame, dims: Mapping[str, DataFrame],
     rows = parse.complete_orders(details).select(
         "id", "sku_id", *[amount_or_zero(c).alias(a) for c, a in SKU_AMOUNTS.items()],
         *dict.fromkeys(["t", *order]))
-    net = keyed.net_measures(rows, "id", order, list(SKU_AMOUNTS.values()), ["sku_id"])
+    net = keyed.net_measures(rows, "id", order, list(SKU_AMOUNTS.values()), ["sku_id"], width=width)
     per_window = tumble(net, total(*SKU_AMOUNTS.values()), ["sku_id"], width=width)
     return enrich_snowflake(per_window, dims).select("stt", "edt", *SKU_COLUMNS)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import parse, routing
+from ..sources.flat import FlatGoods, keep_flat
 from ..sources.sinks import upsert_dims
 from ..sources.tiers import KeyedTable
 
@@ -52,15 +53,17 @@ def alive_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def route_batches(rules_path: str, facts_path: str, dims_path: str, run: int = 0,
-                  text: str = "value") -> Callable[[DataFrame, int], None]:
+                  text: str = "value", flat: FlatGoods | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` over raw change text: facts to topics, dimensions to keyed tables.
 
     Rules are read once per micro-batch and hold for all of it; they are kept beside its facts, so that a
     micro-batch that is repeated after a failure meets the rules of its first attempt. The text is parsed and
     joined once; the joined rows are kept while both sinks are written, and written records are those of
     :func:`rillmart.plans.ingest.routed_fact_lines`. Facts of a batch go to a directory of their own, which a repeat
-    replaces. A new checkpoint takes a greater ``run``.
+    replaces. A new checkpoint takes a greater ``run``. With ``flat``, skus that a dimension row touches are flattened anew.
     """
+    write_dims = keep_flat(flat, ["t", "ts"], run) if flat else upsert_dims(dims_path, ["t", "ts"], run)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         place = f"run={run}/batch={batch_id}"
@@ -71,7 +74,7 @@ def route_batches(rules_path: str, facts_path: str, dims_path: str, run: int = 0
         try:
             facts = routed.where("sink_type = 'dwd'").select("sink_table", "value")
             facts.write.mode("overwrite").partitionBy("sink_table").text(f"{facts_path}/{place}")
-            upsert_dims(dims_path, ["t", "ts"], run)(routed.where("sink_type = 'dim'").select(
+            write_dims(routed.where("sink_type = 'dim'").select(
                 "data", "sink_table", "sink_pk", "type", "t", "ts"), batch_id)
         finally:
             routed.unpersist()
