@@ -14,7 +14,7 @@ from ..operators import joins, keyed, parse, routing, windows
 from ..plans import detail, ingest, summary
 from ..session import prepare
 from ..sources import dims as dim_sources
-from ..sources import sinks, topics
+from ..sources import flat, sinks, topics
 from . import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,16 @@ def plain_amounts(df: DataFrame) -> DataFrame:
         for n, t in df.dtypes])
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that all executors see; a folder of this machine serves a local session only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
+        shared = tempfile.mkdtemp(prefix="rillmart-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # --- parsing ---------------------------------------------------------------
 
 @query
@@ -287,6 +297,108 @@ def snowflake_enrich(spark, sf):
     return joins.enrich_snowflake(li, feeds.dimensions(spark, sf))
 
 
+# --- sinks, read back -------------------------------------------------------
+
+@query
+def topic_append_reread(spark, sf):
+    """A detail topic: rows appended in two writes, read again as text with their event time."""
+    rows = feeds.visits(spark, sf).select(
+        "event_id", "mid", "page_id", "last_page_id", F.floor(F.col("ts") / 1000).cast("string").alias("ts"))
+    path = shared_folder(spark, "topic")
+    for half in (0, 1):
+        sinks.append(rows.where(F.col("event_id") % 2 == half), path)
+    again = topics.read_detail(topics.read_topic(spark, path), "event_id long, mid string, page_id string, last_page_id string, ts string")
+    return _timed(again)
+
+
+@query
+def topic_per_row(spark, sf):
+    """Each row goes to the topic it names; a reader of one topic opens its folder only."""
+    rows = feeds.visits(spark, sf).select("event_id", "mid", F.concat(F.lit("dwd_"), "event_type").alias("topic"))
+    path = shared_folder(spark, "topics")
+    sinks.append(rows, path, by="topic")
+    out = None
+    for kind in ("view", "click", "purchase"):
+        part = topics.read_json_table(topics.read_topic(spark, f"{path}/topic=dwd_{kind}"), "event_id long, mid string").withColumn(
+            "topic", F.lit(f"dwd_{kind}"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def keyed_upsert(spark, sf):
+    """Three micro-batches, one of them repeated, with deletions; the newest row of each key is left."""
+    rows = feeds.visits(spark, sf).select(
+        "mid", "event_id", "page_id", "t", (F.col("event_type") == "error").alias(sinks.DELETED))
+    path = shared_folder(spark, "keyed")
+    write = sinks.upsert(path, ["mid"], ["t", "event_id"])
+    for number in (0, 1, 1, 2):
+        write(rows.where(F.col("event_id") % 3 == number), number)
+    return _timed(sinks.read_upserts(spark, path, ["mid"]))
+
+
+@query
+def dim_tombstones(spark, sf):
+    """A keyed topic in which deletions are empty messages, read without them."""
+    rows = feeds.visits(spark, sf).select("event_id", "page_id", (F.col("k") % 4 == 0).alias(sinks.DELETED))
+    messages = parse.not_tombstone(sinks.kafka_rows(rows, "dim_visit", ["event_id"]))
+    body = F.from_json("value", "event_id long, page_id string")
+    return messages.select("topic", "key", body.alias("_b")).select("topic", "key", "_b.*")
+
+
+@query
+def log_maps(spark, sf):
+    """The good records of the log as maps, with event time in whole seconds."""
+    good, _ = parse.split_objects(feeds.log_text(spark, sf))
+    return parse.parse_log_maps(good).select(
+        "event_id", F.col("common")["mid"].alias("mid"), F.col("common")["ch"].alias("ch"), F.col("page")["page_id"].alias("page_id"),
+        F.unix_micros("t").alias("us"))
+
+
+@query
+def rules_preloaded(spark, sf):
+    """Rules of one sink type, from the table that they are kept in."""
+    path = shared_folder(spark, "rules")
+    feeds.rules(spark, sf).write.parquet(path)
+    return dim_sources.read_rules(spark, "dwd", path).select("source_table", "source_type", "sink_table", "sink_columns")
+
+
+@query
+def dictionary_table(spark, sf):
+    """Source type names by the dictionary table; the line's code has no name in it sometimes."""
+    path = shared_folder(spark, "dic")
+    feeds.dictionary(spark, sf).write.parquet(path)
+    lines = detail.order_lines(feeds.cdc_frame(spark, sf)).select("id", "source_type")
+    return joins.lookup(lines, dim_sources.read_dictionary(spark, path), "source_type", "source_type_name")
+
+
+@query
+def emit_and_processing_time(spark, sf):
+    """Windows of changes: the time a row is written, and the latest processing time, lie within ten minutes of now."""
+    changes = topics.read_cdc(feeds.routed_text(spark, sf))
+    sums = windows.tumble(changes, {"n": F.count("*"), "_proc": F.max("proc_time")}, width="1 hour")
+    near = lambda ms: F.abs(ms - F.unix_millis(F.current_timestamp())) < 600_000
+    return windows.stamped(sums).select(
+        "stt", "edt", "n", near(F.col("ts")).alias("stamped"), near(F.unix_millis("_proc")).alias("processed"))
+
+
+@query
+def flat_goods(spark, sf):
+    """The flattened goods dimension after two micro-batches of routed rows: skus and categories, then what lies above them."""
+    place = shared_folder(spark, "goods")
+    goods = flat.FlatGoods(f"{place}/flat", f"{place}/dims", {level: f"dim_{level}" for level in flat.COLUMNS})
+    dims, write = feeds.dimensions(spark, sf), flat.keep_flat(goods, ["ts"])
+    for number, levels in enumerate((("sku", "category3"), ("spu", "trademark", "category2", "category1"))):
+        batch = None
+        for level in levels:
+            pairs = [x for c in dims[level].columns for x in (F.lit(c), F.col(c))]
+            rows = dims[level].select(F.lit(f"dim_{level}").alias("sink_table"), F.lit("id").alias("sink_pk"),
+                                      F.lit("insert").alias("type"), F.create_map(*pairs).alias("data"), F.lit(0).alias("ts"))
+            batch = rows if batch is None else batch.unionByName(rows)
+        write(batch, number)
+    return goods.read(spark)
+
+
 # --- detail tables ---------------------------------------------------------
 
 def _wide(f, spark, sf, **kw):
@@ -310,8 +422,7 @@ def order_detail_wide(spark, sf):
 @query
 def order_detail_text(spark, sf):
     """From the text of the change topic: parsed once and landed by source table, then read by the joins."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rillmart-")
-    landed = f"{shared.rstrip('/')}/cdc-{uuid.uuid4().hex}"
+    landed = shared_folder(spark, "cdc")
     sinks.land_cdc(parse.valid_changes(topics.read_cdc(feeds.shop_text(spark, sf))), landed)
     return _timed(detail.order_detail(spark.read.parquet(landed), feeds.dictionary(spark, sf)))
 

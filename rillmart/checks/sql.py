@@ -369,6 +369,25 @@ SQL: dict[str, str] = {
         SELECT line AS id, sku_id, sku_name, spu_id, trademark_id, category3_id, spu_name, trademark_name,
           category3_name, category2_id, category2_name, category1_id, category1_name
         FROM li LEFT JOIN sku ON sku_id = sku.id LEFT JOIN spu ON spu_id = spu.id {CHAIN}""",
+    "topic_append_reread": f"""WITH {VISITS} SELECT event_id, mid, page_id, last_page_id, CAST(ts // 1000 AS VARCHAR) AS ts,
+        strftime(t, {SECOND}) AS t FROM visits""",
+    "topic_per_row": f"""WITH {VISITS} SELECT event_id, mid, 'dwd_' || event_type AS topic FROM visits
+        WHERE event_type IN ('view', 'click', 'purchase')""",
+    "keyed_upsert": f"""WITH {VISITS}, ranked AS (SELECT *, row_number() OVER
+        (PARTITION BY mid ORDER BY event_id % 3 DESC, t DESC, event_id DESC) AS rn FROM visits)
+        SELECT mid, event_id, page_id, strftime(t, {SECOND}) AS t FROM ranked WHERE rn = 1 AND event_type <> 'error'""",
+    "dim_tombstones": f"""WITH {VISITS} SELECT 'dim_visit' AS topic, '{{"event_id":' || event_id || '}}' AS key, event_id, page_id
+        FROM visits WHERE k % 4 <> 0""",
+    "log_maps": f"""WITH {VISITS} SELECT event_id, mid, ch, page_id, epoch_us(t) // 1000000 * 1000000 AS us FROM visits
+        WHERE event_id % 10 NOT IN (3, 6, 7)""",
+    "rules_preloaded": f"WITH {RULES} SELECT source_table, source_type, sink_table, sink_columns FROM fact_rules",
+    "dictionary_table": f"""WITH {LINES}, {DIC} SELECT id, source_type, name AS source_type_name
+        FROM lines JOIN dic ON source_type = code""",
+    "emit_and_processing_time": f"""SELECT {bucket('1 hour', at(order_s('o_orderkey')))}, count(*) AS n, true AS stamped, true AS processed
+        FROM orders GROUP BY 1, 2""",
+    "flat_goods": f"""WITH {DIMS} SELECT sku.id, sku_name, spu_id, trademark_id, category3_id, spu_name, trademark_name,
+        category3_name, category2_id, category2_name, category1_id, category1_name
+        FROM sku LEFT JOIN spu ON spu_id = spu.id {CHAIN}""",
     "order_detail_wide": f"WITH {WIDE.format(near='', act_near='')} SELECT * EXCLUDE (s) FROM wide",
     "order_detail_text": f"WITH {WIDE.format(near='', act_near='')} SELECT * EXCLUDE (s) FROM wide",
     "order_detail_bounded": f"""WITH {WIDE.format(near='AND abs(l.s - o.s) <= 5', act_near='AND a.apart <= 5')}
