@@ -5,10 +5,10 @@ A rule is ``(pattern, verdict)``. Patterns:
 - ``host/path``: fits the host and all its subdomains, where the URL's path starts with ``/path``;
 - ``/regex/``: a regular expression searched in the whole URL.
 
-Every rule becomes one regular expression and the literal tokens (runs of letters and digits)
-that any URL it fits must hold as whole tokens. It is filed under the one of them that the fewest
-URLs hold; a rule without such a token is a candidate for every URL. The tokens of a URL fetch
-its candidates, and only those run their expression.
+Every rule becomes one regular expression and what any URL it fits must hold: one whole token (a run
+of letters and digits) of each of some sets, which have one token, or one for each branch of an alternation. It
+is filed under all tokens of the set that the fewest URLs hold; a rule without such a set is a
+candidate for every URL. The tokens of a URL fetch its candidates, and only those run their expression.
 
 URLs stay in their partition: nothing is shuffled but the counts of the rules' own tokens, so a
 host that holds a third of all rows is no hot key.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from re import _parser as syntax
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,7 +52,7 @@ class Rule:
     pattern: str
     verdict: str
     regex: str
-    tokens: tuple[str, ...]
+    needs: tuple[tuple[str, ...], ...]
     site: bool
 
 
@@ -73,19 +74,94 @@ def parse_rule(pattern: str, verdict: str) -> Rule:
     """Regular expression and certain tokens of one rule.
 
     Site rules are searched in host + path, which a host cannot confuse as it holds no slash.
-    Tokens of a ``/regex/`` rule are those of the plain runs outside groups, classes,
-    alternatives and quantified characters that have an escaped non-token character on both sides.
+    For tokens of a ``/regex/`` rule see :func:`needed_tokens`.
     """
     if len(pattern) > 1 and pattern.startswith("/") and pattern.endswith("/"):
         body = pattern[1:-1]
-        plain = () if re.search(r"[|]", re.sub(r"\(\?:[^()]*\)", "", body)) else tuple(
-            re.findall(r"\\[/.\-]([a-z0-9]+)(?=\\[/.\-](?![*?{]))", body))
-        return Rule(pattern, verdict, body, plain, False)
+        return Rule(pattern, verdict, body, needed_tokens(body), False)
     host, slash, path = pattern.partition("/")
     whole = TOKEN.findall(ascii_lower(host)) + [
         t.group() for t in TOKEN.finditer(ascii_lower(path)) if t.end() < len(path)]
     regex = rf"\A(?:[^/]*\.)?{re.escape(ascii_lower(host))}{re.escape(slash + path)}"
-    return Rule(pattern, verdict, regex, tuple(dict.fromkeys(whole)), True)
+    return Rule(pattern, verdict, regex, tuple((t,) for t in dict.fromkeys(whole)), True)
+
+
+ANCHORS = (syntax.AT_BEGINNING, syntax.AT_BEGINNING_STRING, syntax.AT_END, syntax.AT_END_STRING, syntax.AT_BOUNDARY)
+REPEATS = (syntax.MAX_REPEAT, syntax.MIN_REPEAT)
+
+
+def needed_tokens(regex: str) -> tuple[tuple[str, ...], ...]:
+    """Sets of tokens of which any lower-cased text that ``regex`` is found in holds one each, as a whole token.
+
+    Found are plain runs of letters and digits between things that are certainly neither: other plain characters, classes
+    without letters and digits, anchors, and groups that begin or end so. An alternation gives a set if every branch
+    has one. What is not understood gives nothing, so the rule is tried more often than need be, never less.
+    """
+    if re.compile(regex).flags & re.IGNORECASE:
+        return ()
+    return tuple(dict.fromkeys(_needed(list(syntax.parse(regex)), False, False)))
+
+
+def _edges(op, value) -> tuple[bool, bool, bool]:
+    """(begins, ends with no letter or digit unless empty, can be empty) of one element of an expression."""
+    if op is syntax.LITERAL:
+        plain = not chr(value).isalnum()
+        return plain, plain, False
+    if op is syntax.IN:
+        plain = all(kind is syntax.LITERAL and not chr(c).isalnum() for kind, c in value)
+        return plain, plain, False
+    if op is syntax.AT:
+        return value in ANCHORS, value in ANCHORS, value not in ANCHORS
+    if op is syntax.SUBPATTERN and not value[1]:
+        return _edges_of(list(value[3]))
+    if op is syntax.BRANCH:
+        begins, ends, empty = zip(*(_edges_of(list(x)) for x in value[1]), strict=True)
+        return all(begins), all(ends), any(empty)
+    if op in REPEATS:
+        begins, ends, empty = _edges_of(list(value[2]))
+        return begins, ends, empty or value[0] == 0
+    return False, False, True
+
+
+def _edges_of(items: list) -> tuple[bool, bool, bool]:
+    edges = [_edges(*x) for x in items]
+    return _stops(edges, 0, True), _stops([(e, b, n) for b, e, n in reversed(edges)], 0, True), all(n for _, _, n in edges)
+
+
+def _stops(edges: list[tuple[bool, bool, bool]], at: int, beyond: bool) -> bool:
+    """Whether what follows place ``at`` begins with no letter or digit; ``beyond`` tells of what lies past the end."""
+    for begins, _, empty in edges[at:]:
+        if not begins:
+            return False
+        if not empty:
+            return True
+    return beyond
+
+
+def _needed(items: list, before: bool, after: bool) -> Iterator[tuple[str, ...]]:
+    edges = [_edges(*x) for x in items]
+    back = [(e, b, n) for b, e, n in reversed(edges)]
+
+    def bounded(start: int, end: int) -> tuple[bool, bool]:
+        return _stops(back, len(items) - start, before), _stops(edges, end, after)
+
+    at = 0
+    while at < len(items):
+        op, value = items[at]
+        end = at
+        while end < len(items) and items[end][0] is syntax.LITERAL and TOKEN.fullmatch(chr(items[end][1])):
+            end += 1
+        if end > at:
+            if all(bounded(at, end)):
+                yield ("".join(chr(c) for _, c in items[at:end]),)
+        elif op is syntax.SUBPATTERN and not value[1]:
+            yield from _needed(list(value[3]), *bounded(at, at + 1))
+        elif op is syntax.BRANCH:
+            found = [list(_needed(list(x), *bounded(at, at + 1))) for x in value[1]]
+            if all(found):
+                longest = [max(sets, key=lambda x: min(map(len, x))) for sets in found]
+                yield tuple(dict.fromkeys(t for x in longest for t in x))
+        at = max(end, at + 1)
 
 
 def token_counts(urls: DataFrame, tokens: Sequence[str]) -> dict[str, int]:
@@ -99,11 +175,12 @@ def token_counts(urls: DataFrame, tokens: Sequence[str]) -> dict[str, int]:
 
 
 def index_rules(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str, list[Rule]]:
-    """Rules by their rarest token (ties: the first in code point order); ``""`` has the rest."""
+    """Rules by the tokens of their rarest set (ties: the first in code point order); ``""`` has the rest."""
     index: dict[str, list[Rule]] = {}
     for rule in rules:
-        token = min(rule.tokens, key=lambda t: (counts.get(t, 0), t), default="")
-        index.setdefault(token, []).append(rule)
+        tokens = min(rule.needs, key=lambda x: (sum(counts.get(t, 0) for t in x), x), default=("",))
+        for token in tokens:
+            index.setdefault(token, []).append(rule)
     return index
 
 
@@ -153,7 +230,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = SITE_RULES +
     spark = pages.sparkSession
     parsed = [parse_rule(p, v) for p, v in rules]
     urls = pages.select("page_id", "url")
-    counts = token_counts(urls, [t for r in parsed for t in r.tokens])
+    counts = token_counts(urls, [t for r in parsed for x in r.needs for t in x])
     verdict_of = {r.pattern: r.verdict for r in parsed if not r.site}
     out = urls.select("*", *(F.lit(None).cast("string").alias(c)
                              for c in ("host", "path", "rule", "verdict", "pattern")))

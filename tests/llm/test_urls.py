@@ -47,7 +47,30 @@ def test_passes_of_few_rules_agree(spark, monkeypatch):
 
 def test_rules_are_filed_under_their_rarest_token():
     rules = [urls.parse_rule("www.example.com/en/", "allow"), urls.parse_rule("com/en", "block"), urls.parse_rule("/[0-9]+/", "block")]
-    assert rules[0].tokens == ("www", "example", "com", "en") and rules[1].tokens == ("com",)
+    assert rules[0].needs == (("www",), ("example",), ("com",), ("en",)) and rules[1].needs == (("com",),)
     index = urls.index_rules(rules, {"com": 9, "example": 5, "www": 2, "en": 3})
     assert {k: [r.pattern for r in v] for k, v in index.items()} == {
         "www": ["www.example.com/en/"], "com": ["com/en"], "": ["/[0-9]+/"]}
+
+
+def test_an_alternation_is_filed_under_a_token_of_each_branch():
+    rules = [urls.parse_rule(r"/\.(?:exe|my-zip)$/", "block"), urls.parse_rule(r"/\/a\//", "block")]
+    index = urls.index_rules(rules, {"zip": 1, "exe": 2, "a": 1})
+    assert {k: len(v) for k, v in index.items()} == {"exe": 1, "zip": 1, "a": 1}
+    assert all(r.needs for r in (urls.parse_rule(*x) for x in urls.PATTERN_RULES))
+
+
+EXPRESSIONS = (
+    r"\/ab\/", r"ab\.", r"\.ab", r"\.(?:ab|b-a|a)(?:$|[?#])", r"\.(?:ab|b*)\.", r"\/a+\/", r"\/ab?\/", r"\/(?:b\.)?a\/", r"\/(?:b)?a\/",
+    r"\/[^a]b\/", r"\/[/.]b\/", r"(?i)\/AB\/", r"(?i:A)b\/", r"\ba\b", r"\Bb\.", r"^a\/", r"a$", r"(?:^|\/)a(?=\/)", r"\/(?!b)a\.", r"\/(a|b)\.\1",
+    r"\.a{2}\.", r"\.(?:a\.){2}b", r"\/(?:\.ab\.|\.b\.)", r"\/a|\.b", r"\.\wb\.", r"\.[a-b]\.", r"(?:\.|a)b\.", r"\.b(?:\.|a)", r"\/a_b\/", r"/É?a/")
+
+
+def test_needed_tokens_are_in_every_text_that_an_expression_is_found_in():
+    import itertools
+    texts = ["".join(x) for n in range(7) for x in itertools.product("ab./", repeat=n)] + ["/a_b/", "/éa/", "/ab\n", ".ab?", ".b-a#"]
+    held = [(t, set(urls.TOKEN.findall(t))) for t in texts]
+    for regex in EXPRESSIONS:
+        needs, found = urls.needed_tokens(regex), re.compile(regex, re.DOTALL)
+        assert all(tokens & set(x) for text, tokens in held if found.search(text) for x in needs), regex
+    assert urls.needed_tokens(EXPRESSIONS[0]) == (("ab",),) and urls.needed_tokens(r"\.(?:ab|b-a|a)(?:$|[?#])") == (("ab", "b", "a"),)
