@@ -376,6 +376,8 @@ SQL: dict[str, str] = {
     "keyed_upsert": f"""WITH {VISITS}, ranked AS (SELECT *, row_number() OVER
         (PARTITION BY mid ORDER BY event_id % 3 DESC, t DESC, event_id DESC) AS rn FROM visits)
         SELECT mid, event_id, page_id, strftime(t, {SECOND}) AS t FROM ranked WHERE rn = 1 AND event_type <> 'error'""",
+    "summary_added_once": f"""WITH {VISITS} SELECT {bucket('1 hour')}, page_id, count(*) AS n, CAST(event_id % 3 AS INTEGER) AS part
+        FROM visits GROUP BY ALL""",
     "dim_tombstones": f"""WITH {VISITS} SELECT 'dim_visit' AS topic, '{{"event_id":' || event_id || '}}' AS key, event_id, page_id
         FROM visits WHERE k % 4 <> 0""",
     "log_maps": f"""WITH {VISITS} SELECT event_id, mid, ch, page_id, epoch_us(t) // 1000000 * 1000000 AS us FROM visits
@@ -579,5 +581,6 @@ SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY vt DESC, event_id DESC) AS rn FROM timed)
         SELECT mid, event_id FROM ranked WHERE rn = 1""",
 }
+SQL |= {"job_cart_users": SQL["cart_uu_window"], "job_refund_users": SQL["refund_distinct_window"]}
 
 assert set(SQL) <= set(QUERIES), set(SQL) - set(QUERIES)
