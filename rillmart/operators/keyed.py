@@ -155,27 +155,31 @@ def net_measures(df: DataFrame, key: str, order: Sequence[str], amounts: Sequenc
     :func:`retract_changelog`, but no key is put in sequence. With ``once``, column ``out`` has 1 in one more row per value
     of that column, where it was first seen, and 0 elsewhere.
 
-    All of it comes out of one pass over the input, as grouping sets of one aggregate with a map-side combine.
+    All of it comes out of one pass over the input and one aggregate with a map-side combine: every row is there once for its window,
+    once for its key and once for ``once``, each time with no more than that group looks at. Versions that ``order`` does not tell apart
+    go by their other columns.
     """
     zeros = {a: F.lit(0).cast(df.schema[a].dataType) for a in amounts}
-    groups = {f"_g{i}": F.col(c) for i, c in enumerate(keep)}
-    sets = [["_w", *groups], ["_key"]] + ([["_once"]] if once else [])
-    cut = df.select(
-        F.window(t, width)["start"].alias("_w"), *[c.alias(n) for n, c in groups.items()], F.col(key).alias("_key"),
-        *([F.col(once).alias("_once")] if once else []), F.struct(*order).alias("_at"),
-        F.struct(F.col(t), *keep, *[F.coalesce(a, z).alias(a) for a, z in zeros.items()]).alias("_row"))
-    first = [F.min_by(F.struct(f"_row.{t}", *[f"_row.{c}" for c in keep]), "_at").alias("_first")] if once else []
-    found = cut.groupingSets(sets, "_w", *groups, "_key", *(["_once"] if once else [])).agg(
-        F.grouping("_w").alias("_no_window"), F.grouping("_key").alias("_no_key"), F.max_by("_row", "_at").alias("_last"), *first)
-    one_of = F.when(F.col("_no_window") == 0, F.struct(
+    held = [F.col(c) for c in dict.fromkeys([*order, t, *keep])]
+    last = F.struct(*held, *[F.coalesce(a, z).alias(a) for a, z in zeros.items()])
+    values = {"_w": F.window(t, width)["start"], **{f"_g{i}": F.col(c) for i, c in enumerate(keep)}, "_key": F.col(key), "_last": last}
+    if once:
+        values |= {"_once": F.col(once), "_first": F.struct(*held)}
+    groups = [n for n in values if n.startswith("_g")]
+    sets = [["_w", *groups], ["_key", "_last"]] + ([["_once", "_first"]] if once else [])
+    typed = df.select(*[c.alias(n) for n, c in values.items()]).schema
+    cut = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_set"), *[(c if n in own else F.lit(None).cast(typed[n].dataType)).alias(n) for n, c in values.items()])
+        for i, own in enumerate(sets)])).alias("_m")).select("_m.*")
+    found = cut.groupBy("_set", *[n for n in values if n not in ("_last", "_first")]).agg(
+        F.max("_last").alias("_last"), *([F.min("_first").alias("_first")] if once else []))
+    one_of = F.when(F.col("_set") == 0, F.struct(
         F.col("_w").alias(t), *[F.col(g).alias(c) for g, c in zip(groups, keep, strict=True)], *[z.alias(a) for a, z in zeros.items()]))
-    one_of = one_of.when(F.col("_no_key") == 0, F.col("_last"))
+    one_of = one_of.when(F.col("_set") == 1, F.struct(*[F.col("_last")[c].alias(c) for c in (t, *keep, *amounts)]))
     if not once:
         return found.select(one_of.alias("_m")).select("_m.*")
-    one_of = one_of.otherwise(F.struct(
-        f"_first.{t}", *[f"_first.{c}" for c in keep], *[z.alias(a) for a, z in zeros.items()]))
-    seen = ((F.col("_no_window") == 1) & (F.col("_no_key") == 1)).cast("bigint")
-    return found.select(one_of.alias("_m"), seen.alias(out)).select("_m.*", out)
+    one_of = one_of.otherwise(F.struct(*[F.col("_first")[c].alias(c) for c in (t, *keep)], *[z.alias(a) for a, z in zeros.items()]))
+    return found.select(one_of.alias("_m"), (F.col("_set") == 2).cast("bigint").alias(out)).select("_m.*", out)
 
 
 def count_once(df: DataFrame, key: str, order: Sequence[str], out: str,

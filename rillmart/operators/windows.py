@@ -20,9 +20,16 @@ def tumble(df: DataFrame, aggs: Mapping[str, Column], keys: Sequence[str] = (),
     Without keys this is a global window: every task still reduces its own rows
     first, so only one row per task and window is shuffled.
     """
-    grouped = df.groupBy(F.window(t, width).alias("_w"), *keys).agg(
-        *[c.alias(name) for name, c in aggs.items()])
-    return label(grouped, keys, list(aggs))
+    return label(windowed(df, aggs, keys, t, width), keys, list(aggs))
+
+
+def windowed(df: DataFrame, aggs: Mapping[str, Column], keys: Sequence[str] = (), t: str = "t", width: str = WIDTH) -> DataFrame:
+    """:func:`tumble` without labels: ``_w``, the window, with keys and sums. In a batch only its start is shuffled."""
+    made = [c.alias(name) for name, c in aggs.items()]
+    if df.isStreaming:
+        return df.groupBy(F.window(t, width).alias("_w"), *keys).agg(*made)
+    grouped = df.groupBy(F.window(t, width)["start"].alias("_start"), *keys).agg(*made)
+    return grouped.select(F.window("_start", width).alias("_w"), *keys, *aggs)
 
 
 def label(grouped: DataFrame, keys: Sequence[str], names: Sequence[str],
