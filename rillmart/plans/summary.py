@@ -16,7 +16,7 @@ from ..functions.values import amount_or_zero
 from ..functions.words import words_of
 from ..operators import keyed, parse
 from ..operators.joins import enrich, enrich_categories, enrich_sku, enrich_snowflake
-from ..operators.windows import WIDTH, total, tumble
+from ..operators.windows import WIDTH, label, total, tumble, windowed
 
 PAGE_NAMES = {"home": "home_uv_ct", "good_detail": "good_detail_uv_ct"}
 CHANNEL = ["vc", "ch", "ar", "is_new"]
@@ -116,8 +116,9 @@ def sku_orders(details: DataFrame, dims: Mapping[str, DataFrame],
         "id", "sku_id", *[amount_or_zero(c).alias(a) for c, a in SKU_AMOUNTS.items()],
         *dict.fromkeys(["t", *order]))
     net = keyed.net_measures(rows, "id", order, list(SKU_AMOUNTS.values()), ["sku_id"], width=width)
-    per_window = tumble(net, total(*SKU_AMOUNTS.values()), ["sku_id"], width=width)
-    return enrich_snowflake(per_window, dims).select("stt", "edt", *SKU_COLUMNS)
+    per_window = windowed(net, total(*SKU_AMOUNTS.values()), ["sku_id"], width=width)
+    started = per_window.select(F.col("_w.start").alias("_start"), "sku_id", *SKU_AMOUNTS.values())     # labels come after the join
+    return label(enrich_snowflake(started, dims).withColumn("_w", F.window("_start", width)), SKU_COLUMNS, [])
 
 
 def refund_users(refunds: DataFrame, dims: Mapping[str, DataFrame], width: str = WIDTH) -> DataFrame:
