@@ -113,7 +113,10 @@ def add_once(path: str, columns: Sequence[str] = (), transient: Sequence[str] =
         rows = batch.drop(*transient)
         if columns:
             rows = rows.toDF(*columns)
-        rows.write.format(FORMAT).mode("append").options(path=path, run=run, batch=batch_id).save()
+        at = {"path": path, "run": str(run), "batch": str(batch_id)}
+        if OnceWriter(at, rows.schema).done():       # else the stages before the sink's would run for nothing
+            return
+        rows.write.format(FORMAT).mode("append").options(**at).save()
 
     return write
 
