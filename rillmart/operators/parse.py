@@ -86,6 +86,18 @@ def parse_cdc(df: DataFrame, text: str = "value") -> DataFrame:
     return with_cdc_times(parsed.select(*[c for c in df.columns if c != text], "_rec.*"))
 
 
+def may_name(text: Column | str, *words: str) -> Column:
+    """False only for JSON text in which no string is one of ``words``: it has none of them in quotes, and no escapes.
+
+    Cheap to tell before text is parsed. Null for null text.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    found = c.contains("\\")
+    for word in words:
+        found = found | c.contains(f'"{word}"') | c.contains(f"'{word}'")
+    return found
+
+
 def with_cdc_times(df: DataFrame) -> DataFrame:
     return df.withColumn("t", clock.from_epoch_s("ts")).withColumn(
         "proc_time", F.current_timestamp())

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,15 @@ class Warehouse:
     def change_text(self) -> DataFrame:
         return topics.read_topic(self.spark, self.place("raw/topic_db"), fmt="parquet")
 
-    def changes(self) -> DataFrame:
-        return parse.valid_changes(topics.read_cdc(self.change_text()))
+    def changes(self, *tables: str) -> DataFrame:
+        """Valid changes, or those of some source tables. Each of these parses only text that may be its own, and a reader of
+        one passes over the others."""
+        text = self.change_text()
+        if not tables:
+            return parse.valid_changes(topics.read_cdc(text))
+        parts = [parse.changes_of(parse.valid_changes(topics.read_cdc(text.where(parse.may_name("value", t)))), t).withColumn("table", F.lit(t))
+                 for t in tables]
+        return reduce(DataFrame.unionByName, parts)
 
     def rules(self) -> DataFrame:
         return dims.read_table(self.spark, self.place("raw/rules"))
@@ -101,12 +109,15 @@ class Job:
     columns: tuple[str, ...] = ()
 
 
-def _topic(f: Callable[[DataFrame, DataFrame], DataFrame], columns: Sequence[str]) -> Job:
-    return Job(("raw/topic_db",), lambda w: f(w.changes(), w.dictionary()), "topic", columns=tuple(columns))
+ORDER_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
 
-def _keyed(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Job:
-    return Job(("raw/topic_db",), lambda w: f(w.changes(), w.dictionary()), "keyed", ("id",))
+def _topic(f: Callable[[DataFrame, DataFrame], DataFrame], columns: Sequence[str], *tables: str) -> Job:
+    return Job(("raw/topic_db",), lambda w: f(w.changes(*tables), w.dictionary()), "topic", columns=tuple(columns))
+
+
+def _keyed(f: Callable[[DataFrame, DataFrame], DataFrame], *tables: str) -> Job:
+    return Job(("raw/topic_db",), lambda w: f(w.changes(*tables), w.dictionary()), "keyed", ("id",))
 
 
 def _summary(reads: str, f: Callable[[Warehouse], DataFrame], *keys: str) -> Job:
@@ -119,7 +130,7 @@ def last_versions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _paid(w: Warehouse) -> DataFrame:
-    return detail.pay_detail(w.rows("order_detail"), w.changes(), w.dictionary(), tie=["sku_id", "source_id", "split_payment_amount", "sku_num"])
+    return detail.pay_detail(w.rows("order_detail"), w.changes("payment_info"), w.dictionary(), tie=["sku_id", "source_id", "split_payment_amount", "sku_num"])
 
 
 JOBS: dict[str, Job] = {
@@ -128,12 +139,12 @@ JOBS: dict[str, Job] = {
         w.change_text(), w.rules(), w.rule_changes()).withColumnRenamed("sink_table", "topic"), "text"),
     "routed_dims": Job(("raw/topic_db", "raw/rules", "raw/rule_changes"), lambda w: ingest.routed_dims(
         w.changes(), w.rules(), w.rule_changes()), "dims"),
-    "cart_add": _topic(detail.cart_add, detail.CART_COLUMNS),
-    "order_detail": _keyed(detail.order_detail),
-    "cancel_detail": _keyed(detail.cancel_detail),
+    "cart_add": _topic(detail.cart_add, detail.CART_COLUMNS, "cart_info"),
+    "order_detail": _keyed(detail.order_detail, *ORDER_TABLES),
+    "cancel_detail": _keyed(detail.cancel_detail, *ORDER_TABLES),
     "pay_detail": Job(("order_detail", "raw/topic_db"), _paid, "keyed", ("order_detail_id",)),
-    "order_refund": _topic(detail.order_refund, detail.REFUND_COLUMNS),
-    "refund_pay": _topic(detail.refund_pay, detail.REFUND_PAY_COLUMNS),
+    "order_refund": _topic(detail.order_refund, detail.REFUND_COLUMNS, "order_refund_info", "order_info"),
+    "refund_pay": _topic(detail.refund_pay, detail.REFUND_PAY_COLUMNS, "refund_payment", "order_info", "order_refund_info"),
     "keyword_page_view": _summary("log", lambda w: summary.keyword_page_view(w.pages(), w.words, w.width), "keyword"),
     "channel_page_view": _summary("log", lambda w: summary.channel_page_view(w.pages(), w.width), *summary.CHANNEL),
     "page_view": _summary("log", lambda w: summary.page_view(w.pages(), w.width)),
