@@ -87,7 +87,8 @@ def _before_pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     Last rows of pieces are ordered within the next coarser piece, and so on; only
     the coarsest pieces of a key are ordered all together.
     """
-    last = rows.groupBy(*keys, *pieces).agg(F.max_by("_held", F.struct(*order)).alias("_held"))
+    # Fine pieces hold few rows: dealt out first, they are sorted in many tasks and not in the few that read the input.
+    last = rows.repartition(*keys, *pieces).groupBy(*keys, *pieces).agg(F.max_by("_held", F.struct(*order)).alias("_held"))
     if len(pieces) == 1:
         along = Window.partitionBy(*keys).orderBy(pieces[0])
         found = last.withColumn("_before", F.lag("_held").over(along))

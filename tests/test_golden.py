@@ -333,6 +333,14 @@ def test_previous_across_pieces(spark, hot):
         assert sorted((r.k, r.s, r.prev.s if r.prev else -1) for r in got.collect()) == want
 
 
+def test_pieces_are_dealt_out_before_they_are_sorted(spark):
+    """Last rows of pieces are not found by sorting all of an input task's rows."""
+    df = spark.createDataFrame([("k", i, i // 5) for i in range(20)], "k string, s long, p long").select("*", F.struct("s").alias("_held"))
+    found = skew._before_pieces(df, ["k"], ["s"], ["p"])
+    assert "REPARTITION_BY_COL" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.p, r._held.s) for r in found.collect()) == [(1, 4), (2, 9), (3, 14)]
+
+
 @pytest.mark.parametrize("hot", [dict(hot_rows=10**9)])
 def test_count_once(spark, hot):
     df = at(spark, [("o1", 3), ("o1", 1), ("o1", 2), ("o2", 9)], "o string, s long")
