@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from rillmart.operators import parse, routing
+from rillmart.session import prepare
 from rillmart.sources import dims, sinks, topics
 
 
@@ -185,3 +186,13 @@ def test_a_keyed_table_of_many_batches_opens_few_folders(spark, tmp_path):
         assert len(table._listed(spark)) < 60                       # merged parts are deleted in time
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_landed_changes_are_packed_and_not_sorted_by_table(spark, tmp_path):
+    prepare(spark)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    rows = [(t, str(i)) for i in range(5) for t in ("a", "b", "c")]
+    sinks.land_cdc(spark.createDataFrame(rows, "table string, ts string").coalesce(1), str(tmp_path / "cdc"))
+    files = list((tmp_path / "cdc").glob("table=*/*.parquet"))
+    assert len(files) == 3 and all(".zstd." in f.name for f in files)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "cdc")).select("table", "ts").collect())) == sorted(rows)
