@@ -31,9 +31,12 @@ def entries(**columns: Column) -> Column:
 
 # --- logs ------------------------------------------------------------------
 
-def visits(spark: SparkSession, sf: str) -> DataFrame:
-    """``events`` as page views, one flat row each."""
+def visits(spark: SparkSession, sf: str, dealt: bool = False) -> DataFrame:
+    """``events`` as page views, one flat row each; ``dealt`` over all tasks, for work that costs more than the few tasks that read a
+    table of few row groups should do."""
     e = table(spark, sf, "events")
+    if dealt:
+        e = e.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id", "ts")
     k = F.get_json_object("props", "$.k").cast("int")
     page = (F.when(F.col("event_type") == "view", "home").when(F.col("event_type") == "click", "good_detail")
             .when(F.col("event_type") == "signup", "login").otherwise("order"))
@@ -57,9 +60,9 @@ def crowded(df: DataFrame, key: str, number: str = "event_id") -> DataFrame:
     return df.withColumn(key, F.when(F.col(number) % 3 == 0, F.lit("crowd")).otherwise(F.col(key)))
 
 
-def log_frame(spark: SparkSession, sf: str) -> DataFrame:
+def log_frame(spark: SparkSession, sf: str, dealt: bool = False) -> DataFrame:
     """Visits in the shape of parsed log records, plus ``event_id``."""
-    v = visits(spark, sf)
+    v = visits(spark, sf, dealt)
     return v.select(
         "event_id",
         F.struct("mid", "uid", "vc", "ch", "ar", "is_new").alias("common"),
@@ -100,7 +103,7 @@ def log_text(spark: SparkSession, sf: str) -> DataFrame:
         F.struct((F.col("event_id") % 100).alias("n"), F.array(F.lit("a"), F.lit("b")).alias("list")).alias("extra")))
     tail = (F.when(number == 4, "\n").when(number == 5, " \t").when(number == 6, " garbage}")
             .when(number == 7, ' {"x":1}').otherwise(""))
-    return log_frame(spark, sf).select("event_id", F.explode(F.array(
+    return log_frame(spark, sf, dealt=True).select("event_id", F.explode(F.array(
         F.when(number == 3, F.substring(raw, 1, 40)).otherwise(F.concat(raw, tail)))).alias("value"))
 
 

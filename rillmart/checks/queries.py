@@ -70,9 +70,9 @@ def log_topics(spark, sf):
     paths = [*(f"common.{n}" for n in ("mid", "uid", "vc", "ch", "ar", "is_new", "os")),
              *(f"page.{n}" for n in ("page_id", "last_page_id", "item", "item_type", "during_time", "source_type")),
              "start", "err", "display", "action", "ts", "extra"]
-    leaves = [F.when(good, payload.get_text("value", f"$.{p}")).alias(p.replace(".", "_")) for p in paths]
-    keys = F.concat_ws(",", F.array_sort(F.json_object_keys("value")))
-    return out.select("topic", F.when(good, keys).alias("keys"), *leaves)
+    leaves = [p.replace(".", "_") for p in paths]
+    read = payload.get_texts(out.select("topic", F.when(good, F.col("value")).alias("_good")), "_good", paths, leaves)
+    return read.select("topic", F.when(good, F.concat_ws(",", F.array_sort(F.json_object_keys("_good")))).alias("keys"), *leaves)
 
 
 @query

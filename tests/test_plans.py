@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
-from rillmart.operators import joins
+from rillmart.functions import payload
+from rillmart.operators import joins, parse
 from rillmart.plans import detail, summary
 from rillmart.sources import sinks
 from rillmart.sources.flat import COLUMNS, FlatGoods, keep_flat
@@ -89,3 +90,17 @@ def test_flat_goods_follow_changes_at_any_level(spark, tmp_path):
     assert batch(4) == now
     want = {r.id: r.asDict() for r in joins.flat_skus(goods.levels(spark)).collect()}
     assert now == want
+
+
+def test_records_are_parsed_once_and_leaves_by_one_reading_each(spark, sf):
+    marked = parse.mark_log(feeds.log_text(spark, sf).select("value"))
+    plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count('concat({"r":') == 1
+    assert "hashpartitioning(event_id" in plan      # dealt before it is made and parsed, also from one row group
+    texts = ['{"a":{"b":1.50,"c":null,"d":"x\\"y"},"e":[1,{"f":2}],"g":true}', '{"a":"text","e":null}', '{"a":{"b":{"z":1}}}',
+             '{"a":null,"g":12345678901234567890}', "{}", "[]", "broken", "", None]
+    paths = ["a.b", "a.c", "a.d", "e", "g", "none", "none.b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    read = payload.get_texts(df, "value", paths, [f"o{n}" for n in range(len(paths))]).orderBy("i").collect()
+    want = df.select("i", "value", *[payload.get_text("value", f"$.{p}").alias(f"o{n}") for n, p in enumerate(paths)]).orderBy("i").collect()
+    assert read == want
