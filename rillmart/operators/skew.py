@@ -44,8 +44,9 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str, valu
     follows_key = F.col("_hot").isNull() & F.col(key).isNotNull()
     part = F.when(follows_key, F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)).cast("int") + 1)
+    # One key of both, so that rows which already lie by ``key`` are dealt anew.
     joined = marked.withColumn("_row_part", part).join(
-        rest, (F.col(key) == F.col("_key")) & (F.col("_row_part") == F.col("_part")), "left")
+        rest, F.struct(F.col(key).alias("k"), F.col("_row_part").alias("p")) == F.struct(F.col("_key").alias("k"), F.col("_part").alias("p")), "left")
     found = F.when(F.col("_hot") == 1, F.col("_hot_value")).otherwise(F.col("_cold_value"))
     return joined.select(*rows.columns, found.alias(value))
 

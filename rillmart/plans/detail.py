@@ -17,7 +17,7 @@ from ..functions import clock
 from ..functions.values import product_text
 from ..operators import parse
 from ..operators.joins import bounded_join, interval_join, lookup
-from ..operators.routing import latest_per_key
+from ..operators.routing import last_per_key
 
 ORDER_TTL_S = 5
 CANCEL_TTL_S = 15 * 60 + 5
@@ -74,12 +74,19 @@ def _with_offers(lines: DataFrame, cdc: DataFrame, ttl_s: int | None) -> DataFra
 
 
 def order_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:
-    """Order lines with their order, activity, coupon and source type."""
+    """Order lines with their order, activity, coupon and source type.
+
+    Rows of a batch without ``ttl_s`` meet their order last, so that they lie by it: what joins them by order does not shuffle them again.
+    """
     lines = lookup(order_lines(cdc), dic, "source_type", "source_type_name")
     orders = parse.changes_of(cdc, "order_info", "insert").select(
         *parse.fields("user_id", "province_id", _order="id"), "t")
-    wide = bounded_join(lines, orders, {"order_id": "_order"}, ttl_s=ttl_s)
-    return _with_offers(wide, cdc, ttl_s).withColumn(
+    on = {"order_id": "_order"}
+    if ttl_s is None:
+        wide = bounded_join(_with_offers(lines, cdc, ttl_s), orders, on)
+    else:
+        wide = _with_offers(bounded_join(lines, orders, on, ttl_s=ttl_s), cdc, ttl_s)
+    return wide.withColumn(
         "date_id", clock.day_of_text("create_time")).select(*ORDER_COLUMNS, "t")
 
 
@@ -128,7 +135,7 @@ def pay_detail(details: DataFrame, cdc: DataFrame, dic: DataFrame, strict: bool
     if rows.isStreaming:
         return rows
     numbered = rows.withColumn("_s", F.col("ts").cast("long"))
-    return latest_per_key(numbered, ["order_detail_id"], ["_s", *tie]).drop("_s")
+    return last_per_key(numbered, ["order_detail_id"], ["_s", *tie]).drop("_s")
 
 
 def order_refund(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
 from rillmart.functions import payload
-from rillmart.operators import joins, parse
+from rillmart.operators import joins, parse, routing, skew
 from rillmart.plans import detail, summary
 from rillmart.sources import sinks
 from rillmart.sources.flat import COLUMNS, FlatGoods, keep_flat
@@ -104,3 +104,51 @@ def test_records_are_parsed_once_and_leaves_by_one_reading_each(spark, sf):
     read = payload.get_texts(df, "value", paths, [f"o{n}" for n in range(len(paths))]).orderBy("i").collect()
     want = df.select("i", "value", *[payload.get_text("value", f"$.{p}").alias(f"o{n}") for n, p in enumerate(paths)]).orderBy("i").collect()
     assert read == want
+
+
+def wide_exchanges(df, capsys):
+    """Shuffles of rows that have a sku's name, in the plan of ``df``."""
+    capsys.readouterr()
+    df.explain("formatted")
+    blocks = capsys.readouterr().out.split("\n\n")
+    return sum(") Exchange" in b.strip().split("\n")[0] and "sku_name#" in b for b in blocks)
+
+
+def test_paid_rows_stay_where_they_met_their_order(spark, tables, capsys):
+    cdc, dic, _ = tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        details = detail.order_detail(cdc, dic.hint("broadcast"))
+        paid = detail.pay_detail(details, cdc, dic.hint("broadcast"))
+        assert wide_exchanges(details, capsys) == 2                          # by line, by order
+        assert wide_exchanges(paid, capsys) == 3                             # and by line for the last payment
+        assert wide_exchanges(paid.select("user_id", "t"), capsys) == 0      # nor is carried what nobody reads
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_keys_are_dealt_anew_where_rows_lie_by_their_key(spark):
+    """Rows that already lie by the key of a per-key join do not stay there: the keys of the join are one value."""
+    rows = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(300)] + [(None, 300)], "key string, n int")
+    per = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("c"), F.min("n").alias("v"))
+    got = skew.join_per_key(rows.repartition("key"), per, "key", "c", "v", ["n"], hot_rows=50)
+    want = {(i, (1 if i % 3 else i) if i < 300 else None) for i in range(301)}
+    assert {(r.n, r.v) for r in got.collect()} == want and got.count() == 301
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew.join_per_key(rows.repartition("key"), per, "key", "c", "v", ["n"], hot_rows=50)
+        assert "_row_part" in [x for x in joined._jdf.queryExecution().executedPlan().toString().split("\n")
+                               if "hashpartitioning(" in x and "_row_part" in x][0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_last_row_of_a_key(spark, times):
+    """As the aggregate has it, also for null keys, null orders and repeated rows."""
+    rows = [(1, 5, "a", "x"), (1, 7, "a", "y"), (1, 7, "b", "z"), (1, None, "c", "w"), (2, None, None, "u"), (2, None, "a", "v"), (None, 1, "a", "p"), (None, 2, None, "q")]
+    df = spark.createDataFrame(rows * times, "id int, s long, tie string, rest string")
+    want = routing.latest_per_key(df, ["id"], ["s", "tie"])
+    assert sorted(routing.last_per_key(df, ["id"], ["s", "tie"]).collect(), key=str) == sorted(want.collect(), key=str)
