@@ -36,6 +36,22 @@ def bounded_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how:
     return _near_join(left, right, on, how, t_left, t_right, ttl_s, ttl_s)
 
 
+def bounded_joins(left: DataFrame, rights: Sequence[DataFrame], on: Mapping[str, str], how: str = "inner",
+                  ttl_s: int | None = None) -> DataFrame:
+    """:func:`bounded_join` with several frames by the same keys, one after the other.
+
+    The bucket of a left row is made once, so that rows which met one frame lie where they meet the next.
+    """
+    if ttl_s is not None:
+        left = _bucketed(left, "t", ttl_s, ttl_s)
+    for right in rights:
+        if ttl_s is None:
+            left = bounded_join(left, right, on, how)
+        else:
+            left = _meet(left, right, on, how, "t", "t", ttl_s, ttl_s)
+    return left.drop("_bucket") if ttl_s is not None else left
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str],
                   before_s: int = 15 * 60, after_s: int = 5,
                   t_left: str = "t", t_right: str = "t") -> DataFrame:
@@ -57,10 +73,24 @@ def _near_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: st
     near each other in time are compared. A left row is in one bucket; a right row is
     in every bucket its interval touches, so each pair meets exactly once.
     """
-    width = max(1, (before_s + after_s) * BUCKET_SPANS)
+    return _meet(_bucketed(left, t_left, before_s, after_s), right, on, how, t_left, t_right, before_s, after_s).drop("_bucket")
+
+
+def _width(before_s: int, after_s: int) -> int:
+    return max(1, (before_s + after_s) * BUCKET_SPANS)
+
+
+def _bucketed(left: DataFrame, t_left: str, before_s: int, after_s: int) -> DataFrame:
+    seconds = F.unix_seconds(F.col(t_left).cast("timestamp"))
+    return left.withColumn("_bucket", F.floor(seconds / _width(before_s, after_s)))
+
+
+def _meet(mine: DataFrame, right: DataFrame, on: Mapping[str, str], how: str, t_left: str, t_right: str,
+          before_s: int, after_s: int) -> DataFrame:
+    """:func:`_near_join` of rows that have their bucket, which the result has too."""
+    width = _width(before_s, after_s)
     seconds = F.unix_seconds(F.col(t_right).cast("timestamp"))
     touched = F.sequence(F.floor((seconds - before_s) / width), F.floor((seconds + after_s + 1) / width))
-    mine = left.withColumn("_bucket", F.floor(F.unix_seconds(F.col(t_left).cast("timestamp")) / width))
     theirs = right.select(
         *[F.col(c).alias(f"_r_{c}") for c in right.columns], F.explode(touched).alias("_r__bucket"))
     at = F.col(f"_r_{t_right}")
@@ -69,7 +99,7 @@ def _near_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: st
         & (F.col(t_left) >= at - F.expr(f"interval {int(before_s)} seconds"))
         & (F.col(t_left) <= at + F.expr(f"interval {int(after_s)} seconds"))
     )
-    return _tidy(left, right, mine.join(theirs, cond, how))
+    return _tidy(mine, right, mine.join(theirs, cond, how))
 
 
 def enrich(df: DataFrame, dim: DataFrame, key: str | Mapping[str, str],

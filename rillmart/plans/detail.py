@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import clock
 from ..functions.values import product_text
 from ..operators import parse
-from ..operators.joins import bounded_join, interval_join, lookup
+from ..operators.joins import bounded_join, bounded_joins, interval_join, lookup
 from ..operators.routing import last_per_key
 
 ORDER_TTL_S = 5
@@ -68,9 +68,7 @@ def _with_offers(lines: DataFrame, cdc: DataFrame, ttl_s: int | None) -> DataFra
         *parse.fields("order_detail_id", "activity_id", "activity_rule_id"), "t")
     coupon = parse.changes_of(cdc, "order_detail_coupon", "insert").select(
         *parse.fields("order_detail_id", "coupon_id"), "t")
-    on = {"id": "order_detail_id"}
-    out = bounded_join(lines, activity, on, "left", ttl_s=ttl_s).drop("order_detail_id")
-    return bounded_join(out, coupon, on, "left", ttl_s=ttl_s).drop("order_detail_id")
+    return bounded_joins(lines, [activity, coupon], {"id": "order_detail_id"}, "left", ttl_s).drop("order_detail_id")
 
 
 def order_detail(cdc: DataFrame, dic: DataFrame, ttl_s: int | None = None) -> DataFrame:

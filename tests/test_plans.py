@@ -152,3 +152,14 @@ def test_last_row_of_a_key(spark, times):
     df = spark.createDataFrame(rows * times, "id int, s long, tie string, rest string")
     want = routing.latest_per_key(df, ["id"], ["s", "tie"])
     assert sorted(routing.last_per_key(df, ["id"], ["s", "tie"]).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_bounded_rows_meet_both_offers_where_they_lie(spark, tables, capsys):
+    """Wide rows are shuffled for their order and once for their offers."""
+    cdc, dic, _ = tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert wide_exchanges(detail.order_detail(cdc, dic.hint("broadcast"), detail.ORDER_TTL_S), capsys) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
