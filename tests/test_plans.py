@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillmart.checks import feeds
-from rillmart.functions import payload
+from rillmart.functions import payload, values
 from rillmart.operators import joins, parse, routing, skew
 from rillmart.plans import detail, summary
 from rillmart.sources import sinks
@@ -163,3 +163,27 @@ def test_bounded_rows_meet_both_offers_where_they_lie(spark, tables, capsys):
         assert wide_exchanges(detail.order_detail(cdc, dic.hint("broadcast"), detail.ORDER_TTL_S), capsys) == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("ttl", [None, detail.ORDER_TTL_S])
+def test_whole_rows_are_shuffled_as_one_text(spark, tables, capsys, ttl):
+    cdc, dic, _ = tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        some = detail.order_detail(cdc, dic.hint("broadcast"), ttl)
+        whole = detail.order_detail(cdc, dic.hint("broadcast"), ttl, whole=True)
+        assert wide_exchanges(some, capsys) == 2 and wide_exchanges(whole, capsys) == 0
+        assert whole.schema == some.schema
+        assert sorted(whole.collect(), key=str) == sorted(some.collect(), key=str) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    odd = [None, "", "a", "\x01", "\x02", "\x02n", "\x02a", "\x02b", "n", "\x01\x02", "\x02\x01b", "\\", "é日", "a\x00b", " "]
+    rows = [(x, y, z) for x in odd for y in odd for z in (None, "", "z")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    names = ["x", "y", "z"]
+    again = df.select(values.packed(*names).alias("p")).repartition(3).select(*values.unpacked("p", *names))
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(rows, key=str)
