@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import checkpointed, partitions
+from .frames import checkpointed, gathered, partitions
 from .ngram_join import is_marked, marked_spots, spot_of
 from .words import FOLD, by_text, shingle_hashes, word_hashes
 
@@ -66,19 +66,37 @@ def seeds_of(grams: np.ndarray) -> np.ndarray:
     return at[~inner]
 
 
+def all_seeds(grams: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, text) of :func:`seeds_of` each text's grams, places ascending from the start of all grams."""
+    owner = np.repeat(np.arange(len(runs)), runs)
+    least, at, size = grams, np.arange(len(grams)), 1
+    while size < WINDOW and len(least):      # first place of the least hash of the ``size`` from each on
+        step = min(size, WINDOW - size)
+        later = least[step:] < least[:-step]
+        at, least, size = np.where(later, at[step:], at[:-step]), np.minimum(least[step:], least[:-step]), size + step
+    at = at[owner[: len(at)] == owner[len(owner) - len(at):]] if size == WINDOW else at[:0]
+    at = at[np.flatnonzero(np.diff(at, prepend=-1))]         # they only rise
+    starts = np.cumsum(runs) - runs
+    short = [int(s + grams[s: s + n].argmin()) for s, n in zip(starts.tolist(), runs.tolist(), strict=True) if 0 < n < WINDOW]
+    if short:
+        at = np.sort(np.append(at, short))
+    h, of = grams[at], owner[at]
+    place = (at - starts[of]) // WINDOW
+    inner = np.zeros(len(at), bool)
+    inner[1:-1] = (h[1:-1] == h[:-2]) & (h[1:-1] == h[2:]) & (place[1:-1] == place[:-2]) & (of[1:-1] == of[:-2]) & (of[1:-1] == of[2:])
+    return at[~inner], of[~inner]
+
+
 def _seeds(shortest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(seed, doc_id, place); place is the tie of rows of equal doc_id, then the word."""
     for batch in batches:
         grams, runs = shingle_hashes(*word_hashes(batch.column("text").to_pylist()), K)
         ids, ties = batch.column("doc_id").to_numpy(), batch.column("tie").to_numpy().astype(np.int64)
-        seeds, docs, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i, own in enumerate(by_text(grams, runs)):
-            if len(own) + K - 1 >= shortest:
-                at = seeds_of(own)
-                seeds.append(own[at].view(np.int64))
-                docs.append(np.full(len(at), ids[i]))
-                places.append(at + (ties[i] << 32))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (seeds, docs, places)],
+        at, of = all_seeds(grams, runs)
+        some = runs[of] + K - 1 >= shortest
+        at, of = at[some], of[some]
+        places = at - (np.cumsum(runs) - runs)[of] + (ties[of] << 32)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (grams[at].view(np.int64), ids[of], places)],
                                          names=["seed", "doc_id", "place"])
 
 
@@ -123,7 +141,9 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = ~done & (first < np.arange(len(starts)))[group]
         alone[row] = False
         second = np.flatnonzero((first == np.arange(len(starts)) - 1) & ~done[starts])
-        alone |= np.isin(group, second - 1)
+        followed = np.zeros(len(starts), bool)
+        followed[second - 1] = True
+        alone |= followed[group]
         alone = np.flatnonzero(alone)
         for start in range(0, len(alone), 100_000):
             a = alone[start: start + 100_000]
@@ -268,6 +288,12 @@ def _chained(shortest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 
 def _runs(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(run, doc_id, place) of each run of ``least`` words, at every word, that has no seed of ``single``."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)],
+                                          names=["run", "doc_id", "place"])
+
     for batch in batches:
         for doc, tie, words, single in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tie", "words", "single")), strict=True):
             own = np.frombuffer(words, "<u4").astype(np.uint64)
@@ -280,9 +306,13 @@ def _runs(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             at = np.flatnonzero(alone[least - K + 1:] == alone[: len(runs)])
             for start in range(0, len(at), 100_000):
                 some = at[start: start + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(runs[some].view(np.int64)), pa.array(np.full(len(some), doc)), pa.array(some + (tie << 32))],
-                    names=["run", "doc_id", "place"])
+                held.append((runs[some].view(np.int64), np.full(len(some), doc), some + (tie << 32)))
+                size += len(some)
+                if size >= 16_384:
+                    yield out()
+                    held, size = [], 0
+    if held:
+        yield out()
 
 
 def _first_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,17 +398,19 @@ def grown(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
         if run == n:
             break
         near = REACH + K - 1
-        equal = a[i: i + near, None] == b[None, j: j + near]
-        rows, columns = equal.shape[0] - K + 2, equal.shape[1] - K + 2
+        rows, columns = min(len(a) - i, near) - K + 2, min(len(b) - j, near) - K + 2
         if rows < 1 or columns < 1:
             break
+        equal = a[i: i + near, None] == b[None, j: j + near]
+        if np.count_nonzero(equal) < K - 1:
+            break
         starts = equal[:rows, :columns]
         for d in range(1, K - 1):
             starts = starts & equal[d: rows + d, d: columns + d]
+        if not starts.any():
+            break
         rank = np.where(starts, SKIPS[:rows, :columns], NO_SKIP)
         best = int(rank.argmin())
-        if rank.flat[best] == NO_SKIP:
-            break
         i, j = i + best // columns, j + best % columns
     return runs
 
@@ -513,9 +545,11 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes, counts = word_hashes(batch.column("text").to_pylist())
         packed = [x.astype("<u4").tobytes() for x in by_text(hashes & np.uint64(0xFFFFFFFF), counts)]
-        grams = by_text(*shingle_hashes(hashes, counts, K))
-        single = [None if seeded is None else np.setdiff1d(seeds_of(own), seeded).astype("<i4").tobytes()
-                  for own, seeded in zip(grams, batch.column("seeded").to_pylist(), strict=True)]
+        grams, runs = shingle_hashes(hashes, counts, K)
+        at, of = all_seeds(grams, runs)
+        seeds = by_text(at - (np.cumsum(runs) - runs)[of], np.bincount(of, minlength=len(runs)))
+        single = [None if seeded is None else np.setdiff1d(own, seeded, assume_unique=True).astype("<i4").tobytes()
+                  for own, seeded in zip(seeds, batch.column("seeded").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(packed, pa.binary()), pa.array(single, pa.binary())],
                                          names=["doc_id", "tie", "words", "single"])
 
@@ -539,10 +573,10 @@ def shared_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     texts = _texts(docs)
     seeds = texts.mapInArrow(lambda it: _seeds(least, it), "seed long, doc_id long, place long")
     matches = seeds.repartition(spread, "seed").sortWithinPartitions("seed", "doc_id", "place").mapInArrow(
-        _matches, "doc_id long, place long, other_id long, other_place long")
+        lambda it: _matches(gathered(it)), "doc_id long, place long, other_id long, other_place long")
     order = [F.shiftright("place", 32), "other_id", F.shiftright("other_place", 32), "place", "other_place"]
     found = checkpointed(matches.repartition(spread, "doc_id").sortWithinPartitions("doc_id", *order).mapInArrow(
-        lambda it: _chained(least, it),
+        lambda it: _chained(least, gathered(it)),
         "doc_id long, tie int, other_id long, other_tie int, xs array<int>, ys array<int>, sizes array<int>"))
     chains = found.filter(F.col("ys").isNotNull())
     none = F.lit(None).cast("array<int>").alias("seeded")
@@ -563,12 +597,12 @@ def shared_passages(docs: DataFrame, least: int = 50) -> DataFrame:
     words = both.drop("single")
     runs = both.filter(F.col("single").isNotNull()).mapInArrow(lambda it: _runs(least, it), "run long, doc_id long, place long")
     held = runs.repartition(spread, "run").sortWithinPartitions("run", "doc_id", "place").mapInArrow(
-        _first_held, "doc_id long, place long, other_id long, other_place long")
+        lambda it: _first_held(gathered(it)), "doc_id long, place long, other_id long, other_place long")
 
     def low(column: str) -> Column:
         return F.col(column).bitwiseAND(0xFFFFFFFF)
     exact = held.repartition(spread, "doc_id").sortWithinPartitions(
-        "doc_id", *order[:3], low("place") - low("other_place"), "place").mapInArrow(lambda it: _exact(least, it), chains.schema)
+        "doc_id", *order[:3], low("place") - low("other_place"), "place").mapInArrow(lambda it: _exact(least, gathered(it)), chains.schema)
     chains = chains.unionByName(exact)
 
     def cut(frame: DataFrame, starts: str, held: str, to: str, first_name: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from rillmart.llm import passages
+from rillmart.llm import passages, words
+from rillmart.llm.frames import gathered
 
 
 def made_words(made, n):
@@ -153,3 +155,34 @@ def test_every_exact_run_is_covered(docs_of):
         missed = [s for s, run in enumerate(own) if run in seen and len(set(range(s, s + 50)) - covered.get(i, set())) >= passages.K]
         assert not missed, i
         seen.update(own)
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    made = np.random.default_rng(3)
+    for trial in range(300):
+        runs = made.integers(0, (4, 30, 80)[trial % 3], made.integers(0, 9))
+        grams = made.integers(0, (2, 5, 2 ** 40)[trial % 4 % 3], runs.sum()).astype(np.uint64)
+        at, of = passages.all_seeds(grams, runs)
+        starts = np.cumsum(runs) - runs
+        want = [(int(x + starts[i]), i) for i, own in enumerate(words.by_text(grams, runs)) for x in passages.seeds_of(own)]
+        assert list(zip(at.tolist(), of.tolist(), strict=True)) == want
+
+
+def test_runs_of_any_length_are_hashed_as_word_by_word():
+    hashes = np.random.default_rng(4).integers(0, 2 ** 63, 120).astype(np.uint64)
+    for k in (1, 2, 3, 5, 12, 13, 50):
+        run = hashes[: 120 - k + 1].copy()
+        for j in range(1, k):
+            run = run * np.uint64(words.BASE) + hashes[j: len(run) + j]
+        got, counts = words.shingle_hashes(hashes, np.array([70, 0, 50]), k)
+        inside = np.repeat([0, 1], [70, 50])
+        assert counts.tolist() == [71 - k, 0, 51 - k]
+        assert got.tolist() == words.mix(run[inside[: len(run)] == inside[k - 1:]]).tolist()
+
+
+def test_short_rows_are_gathered():
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + n), pa.int64())], names=["x"]) for i, n in ((0, 3), (3, 0), (3, 4), (7, 2))]
+    for rows, sizes in ((1, [3, 4, 2]), (5, [7, 2]), (100, [9])):
+        got = list(gathered(iter(batches), rows))
+        assert [b.num_rows for b in got] == sizes and [x for b in got for x in b.column("x").to_pylist()] == list(range(9))
+    assert list(gathered(iter([]))) == []
