@@ -119,15 +119,18 @@ def _keys(k: int, least: int, buckets: int, batches: Iterator[pa.RecordBatch]) -
     def packs() -> pa.RecordBatch:
         keys = np.concatenate(list(found.values())).view(np.uint64)
         of = np.repeat(np.fromiter(found, np.int64, len(found)), [len(x) for x in found.values()])
-        bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        found.clear()
+        bucket = keys >> np.uint64(32)
+        bucket *= np.uint64(buckets)
+        bucket = (bucket >> np.uint64(32)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        keys, of, bucket = keys[order], of[order], bucket[order]
+        keys, of, bucket = keys.astype("<u4")[order], of[order], bucket[order]
         new = np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (of[1:] != of[:-1])))
         heads = np.flatnonzero(new)
         counts = np.diff(np.append(heads, len(keys)))
         bounds = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         cuts, runs = np.append(bounds, len(keys)), np.searchsorted(heads, np.append(bounds, len(keys)))
-        rows = [(int(bucket[i]), keys[i:j].astype("<u4").tobytes(), of[heads[r:q]].tobytes(), counts[r:q].astype("<u4").tobytes())
+        rows = [(int(bucket[i]), keys[i:j].tobytes(), of[heads[r:q]].tobytes(), counts[r:q].astype("<u4").tobytes())
                 for i, j, r, q in zip(cuts[:-1], cuts[1:], runs[:-1], runs[1:], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
             zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
@@ -141,7 +144,7 @@ def _keys(k: int, least: int, buckets: int, batches: Iterator[pa.RecordBatch]) -
                 held += len(keys)
         if held > HELD:
             yield packs()
-            found, held = {}, 0
+            held = 0
     if held:
         yield packs()
 
