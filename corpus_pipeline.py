@@ -24,32 +24,32 @@ from rillmart.llm.frames import ready
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity is below 0.5, learnt from ``labels`` and the texts that are there."""
-    ready(spark)
+    ready(spark, lean=True)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.train(docs, labels), 0.5)
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of smallest doc_id; those without words stay."""
-    ready(spark)
+    ready(spark, lean=True)
     return ngram_join.without_near_duplicates(docs, k=5, least=80)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat those of documents of smaller doc_id."""
-    ready(spark)
+    ready(spark, lean=True)
     return passages.without_passages(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix of sources takes it."""
-    ready(spark)
+    ready(spark, lean=True)
     return mixing.take_mix(docs)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids, ids_sha256, decoded_sha256) of each row; ids are little-endian unsigned 32 bits."""
-    ready(spark)
+    ready(spark, lean=True)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "source"))
     return bpe.decode(encoded, path).select(

@@ -9,6 +9,7 @@ Documents stay in their partition, so there is no shuffle and no hot key.
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import heapq
@@ -23,31 +24,32 @@ from pyspark.sql import functions as F
 NONE = np.int64(1 << 40)
 WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 64, 128, 256)
 BUCKET = [next(i for i, w in enumerate(WIDTHS) if w >= n) for n in range(WIDTHS[-1] + 1)]
-CELLS = 1 << 19          # cells of one matrix
-CACHE = 250_000          # distinct pieces that a worker remembers; then it starts anew
+CELLS = 1 << 17          # cells of one matrix
+CACHE = 60_000           # distinct pieces that a worker remembers; then it starts anew
 BITS = 20
 
 
+def ranks_of(content: bytes) -> dict[bytes, int]:
+    """Rank of each token of a tiktoken file."""
+    return {base64.b64decode(t): int(r) for t, r in map(bytes.split, content.splitlines()) if t}
+
+
 class Vocabulary:
-    """Ranks of a tiktoken file: token bytes, byte ids, and the hashed table of mergeable pairs."""
+    """Ranks of a tiktoken file, byte ids, and the hashed table of mergeable pairs."""
 
     def __init__(self, content: bytes):
-        self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, content.splitlines()) if t}
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.ranks = ranks_of(content)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = {}
+        pairs, ranks = array.array("q"), array.array("q")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left << 20 | right] = rank
-        self.pairs = pairs
+                    pairs.append(left << 20 | right)
+                    ranks.append(rank)
         self.keys = np.full(1 << BITS, -1, np.int64)
         self.values = np.full(1 << BITS, NONE, np.int64)
-        key = np.fromiter(pairs, np.int64, len(pairs))
-        value = np.fromiter(pairs.values(), np.int64, len(pairs))
+        key, value = np.array(pairs, np.int64), np.array(ranks, np.int64)
         slot = self.slots(key)
         while len(key):
             free = self.keys[slot] == -1
@@ -58,6 +60,12 @@ class Vocabulary:
             left[put] = False
             key, value, slot = key[left], value[left], (slot[left] + 1) & ((1 << BITS) - 1)
 
+    @functools.cached_property
+    def pairs(self) -> dict[int, int]:
+        """Rank of each mergeable pair; only pieces too long for a matrix need it."""
+        at = self.keys >= 0
+        return dict(zip(self.keys[at].tolist(), self.values[at].tolist(), strict=True))
+
     @staticmethod
     def slots(key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -159,6 +167,16 @@ def vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
 
+@functools.lru_cache(maxsize=2)
+def tokens_of(content: bytes) -> list[bytes]:
+    """Bytes of each rank: all that decoding needs."""
+    ranks = ranks_of(content)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 @functools.lru_cache(maxsize=4)
 def splitter(pattern: str):
     """The pattern with white space as Unicode's White_Space, as the public encoders take it."""
@@ -175,7 +193,7 @@ def _encode(content, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterato
         texts = [find((text or b"").decode("utf-8", "replace")) for text in batch.column("text").to_pylist()]
         new = set().union(*texts)
         if len(cache) > CACHE:
-            cache = {}
+            cache = {x: cache[x] for x in new if x in cache}
         cache.update(vocab.encode_pieces([x for x in new if x not in cache]))
         packed = [b"".join(map(cache.__getitem__, pieces)) for pieces in texts]
         yield pa.RecordBatch.from_arrays(
@@ -184,7 +202,7 @@ def _encode(content, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def _decode(content, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    token = vocabulary(content.value).tokens.__getitem__
+    token = tokens_of(content.value).__getitem__
     for batch in batches:
         texts = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist()))
                  for x in batch.column("ids").to_pylist()]

@@ -1,8 +1,10 @@
 import base64
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -43,3 +45,32 @@ def test_matrix_and_heap_merge_alike():
 
 def test_empty_table(docs_of):
     assert bpe.decode(bpe.encode(docs_of([]), PATH, public_tokenizers.PATTERN), PATH).count() == 0
+
+
+def test_decoding_loads_no_table_of_pairs(monkeypatch):
+    """A worker that decodes holds the tokens only; what heaps need of the pairs is made when a piece needs it."""
+    monkeypatch.setattr(bpe, "vocabulary", None)
+    with open(PATH, "rb") as f:
+        content = f.read()
+    ids = np.array([5, 300, 49_000], "<u4").tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([ids, None], pa.binary())], names=["ids"])
+    out, = bpe._decode(SimpleNamespace(value=content), iter([batch]))
+    ranks = {int(r): base64.b64decode(t) for t, r in map(bytes.split, content.splitlines())}
+    assert out.column("decoded").to_pylist() == [ranks[5] + ranks[300] + ranks[49_000], b""]
+    vocabulary = bpe.Vocabulary(content)
+    assert "pairs" not in vars(vocabulary)
+    assert vocabulary.pairs == {vocabulary.ranks[t[:i]] << 20 | vocabulary.ranks[t[i:]]: r for t, r in vocabulary.ranks.items()
+                                for i in range(1, len(t)) if t[:i] in vocabulary.ranks and t[i:] in vocabulary.ranks}
+
+
+def test_pieces_are_the_same_when_the_worker_starts_anew(monkeypatch):
+    """A worker that remembers no piece of earlier batches encodes as one that does."""
+    with open(PATH, "rb") as f:
+        content = SimpleNamespace(value=f.read())
+    made = random.Random(3)
+    batches = [pa.RecordBatch.from_arrays([pa.array([b" ".join(str(made.randrange(300)).encode() for _ in range(40))])], names=["text"]) for _ in range(6)]
+    found = []
+    for cache in (0, 50, bpe.CACHE):
+        monkeypatch.setattr(bpe, "CACHE", cache)
+        found.append([b.column("ids").to_pylist() for b in bpe._encode(content, public_tokenizers.PATTERN, iter(batches))])
+    assert found[0] == found[1] == found[2]
