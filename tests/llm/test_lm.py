@@ -152,3 +152,31 @@ def test_rows_in_another_order_are_told():
     assert lm._scored(own, answer(5)).num_rows == 1
     with pytest.raises(ValueError, match="another order"):
         lm._scored(own, answer(6))
+
+
+def test_samples_are_seated_at_the_tables_of_other_shards():
+    """A shard with one dish of each context, the other with fifty: its tables are as if all dishes lay in one shard."""
+    words = np.sort(np.random.default_rng(8).integers(0, 2 ** 63, 51).astype(np.uint64))
+    heads = np.arange(1, 301)
+
+    def shard(number, buckets, each):
+        of = words[:1] if len(each) == 1 else words[-len(each):]
+        contexts = np.tile(np.arange(len(heads)), len(of))
+        return lm.Bucket(number, buckets, 512, [{
+            "words": of.tobytes(), "each": lm.planes(np.full(len(of), len(heads))), "heads": lm.rising(heads),
+            "contexts": lm.planes(contexts), "counts": lm.planes(np.repeat(each, len(heads)))}])
+
+    counts = np.append(12, np.ones(50, np.int64))
+    cut = lambda: [shard(0, 2, counts[:1]), shard(1, 2, counts[1:])]
+    begun, told = lm.Totals(512, 1), lm.Totals(512)
+    for s in cut():
+        s.begin(begun)
+    assert begun.few[:2].tolist() == [300 * 62, 51]
+    for s in cut():
+        s.add_to(told, begun)
+    tables = lambda b, **kw: np.mean([t[b.word == 0].sum() for t, _, _ in b.samples(**kw)])
+    want = tables(shard(0, 1, counts))
+    assert tables(cut()[0], begun=begun) == pytest.approx(want, rel=0.05)
+    assert tables(cut()[0]) < 0.9 * want                        # by its own dishes alone
+    p = [10 ** x for s in cut() for *_, x, _ in s.answers(told, begun)]
+    assert sum(x.reshape(-1, 300).sum(axis=0) for x in p) == pytest.approx(np.ones(300), abs=0.02)
