@@ -5,7 +5,7 @@ the routing configuration, ``dim/<name>`` dictionary and dimensions as Parquet.
 comes after those that it reads. A job writes one of
 
 - ``text``: ready messages, a folder for each topic;
-- ``topic``: rows as JSON, every version kept;
+- ``topic``: rows as JSON, packed by gzip, every version kept;
 - ``keyed``: the last row of each key (:mod:`..sources.tiers`);
 - ``summary``: window rows with their emit time, each batch added once (:mod:`..sources.once`).
 
@@ -169,7 +169,7 @@ def run(warehouse: Warehouse, name: str, batch: int = 0) -> None:
     if job.sink == "text":
         rows.select("topic", "value").write.mode("overwrite").partitionBy("topic").text(f"{path}/batch={batch}")
     elif job.sink == "topic":
-        rows.select(*job.columns).write.mode("overwrite").json(f"{path}/batch={batch}")
+        rows.select(*job.columns).write.mode("overwrite").option("compression", "gzip").json(f"{path}/batch={batch}")
     elif job.sink == "keyed":
         sinks.upsert(path, list(job.keys))(last_versions(rows, job.keys), batch)
     elif job.sink == "dims":

@@ -175,3 +175,19 @@ def test_changes_of_some_tables_parse_only_text_that_may_be_theirs(spark, tmp_pa
     assert len(ids(w.changes("cart_info"))) == 4
     of_one = parse.changes_of(w.changes("cart_info", "order_info"), "cart_info")
     assert of_one._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_landed_text_and_topics_are_packed(spark, sf, tmp_path):
+    """Text of changes and a topic of rows take a fraction of their size on disk, and are read back whole."""
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    text = feeds.shop_text(spark, sf).unionAll(spark.createDataFrame([("",), (None,), ("no change",)], "value string"))
+    sinks.land_text(text, w.place("raw/topic_db"))
+    feeds.dictionary(spark, sf).write.parquet(w.place("dim/base_dic"))
+    assert same(w.change_text(), text)
+    warehouse.run(w, "cart_add")
+    assert same(w.rows("cart_add"), detail.cart_add(feeds.cdc_frame(spark, sf), feeds.dictionary(spark, sf)))
+    size = lambda name, kind: sum(f.stat().st_size for f in (tmp_path / name).rglob(f"part-*{kind}"))
+    plain = text.agg(F.sum(F.octet_length("value"))).first()[0]
+    assert 0 < size("raw/topic_db", ".zstd.parquet") < 0.2 * plain
+    rows = w.rows("cart_add").select(F.to_json(F.struct(*detail.CART_COLUMNS)).alias("value"))
+    assert 0 < size("cart_add", ".json.gz") < 0.25 * rows.agg(F.sum(F.octet_length("value"))).first()[0]
