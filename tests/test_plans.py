@@ -187,3 +187,34 @@ def test_packed_texts_come_back_as_they_were(spark):
     names = ["x", "y", "z"]
     again = df.select(values.packed(*names).alias("p")).repartition(3).select(*values.unpacked("p", *names))
     assert sorted(map(tuple, again.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_whole_rows_meet_order_and_offers_after_one_shuffle(spark, capsys):
+    """Lines that come twice, share an id between orders or lack one, repeated offers and orders: all pairs as by a join each."""
+    change = lambda table, ts, **data: ("shop", table, "insert", data, None, str(ts))
+    line = lambda i, order, sku, ts: change("order_detail", ts, id=i, order_id=order, sku_id=sku, sku_name=f"s{sku}", create_time="2024-01-01 00:00:00",
+                                            source_type="1", sku_num="2", order_price="1.50")
+    rows = [line("a", "1", "x", 1), line("a", "1", "x", 1), line("a", "2", "y", 2), line("b", "1", "z", 3), line(None, "1", "n", 4), line("c", None, "m", 5),
+            line("d", "9", "o", 6), line("e", "2", None, 7), line("f", "3", "p", 8),
+            *[change("order_info", 1, id=i, user_id=f"u{i}", province_id="7") for i in ("1", "2", "2", "3", None)],
+            *[change("order_detail_activity", 1, order_detail_id=i, activity_id=n, activity_rule_id="r")
+              for i, n in (("a", "p"), ("a", "q"), ("a", "q"), ("e", "p"), (None, "p"), ("none", "p"))],
+            *[change("order_detail_coupon", 1, order_detail_id=i, coupon_id=n) for i, n in (("a", "k"), ("b", "k"), ("b", "l"), (None, "k"))]]
+    cdc = parse.with_cdc_times(spark.createDataFrame(rows, parse.CDC_SCHEMA)).drop("proc_time")
+    dic = spark.createDataFrame([("1", "one")], "dic_code string, dic_name string").hint("broadcast")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    try:
+        for threshold in ("-1", "10MB"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            whole = detail.order_detail(cdc, dic, whole=True)
+            found += [sorted(whole.collect(), key=str), sorted(detail.order_detail(cdc, dic).collect(), key=str)]
+        assert all(x == found[0] for x in found) and len(found[0]) == 3 + 3 + 6 + 2 + 1 + 2 + 1
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        capsys.readouterr()
+        whole.select("*").explain("formatted")
+        blocks = capsys.readouterr().out.split("\n\n")
+        for kind in ("Exchange", "Sort"):
+            assert sum(f") {kind}" in b.strip().split("\n")[0] and ") SortMerge" not in b and "_rest#" in b for b in blocks) == 1, kind
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
